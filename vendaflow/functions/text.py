@@ -19,12 +19,11 @@ def known(text: Column) -> Column:
     return F.when(~text.isin(NULL_WORDS), text)
 
 
-def normalize_postal(text: Column) -> Column:
-    """Postal code without padding and float tail; blank and 'nan' become NULL.
+def normalize_postal(bare: Column) -> Column:
+    """Postal code, already stripped, without float tail; blank and 'nan' become NULL.
 
     A text that ends in '.0' loses every '.0' in it.
     """
-    bare = strip(text)
     whole = F.when(bare.endswith(".0"), F.replace(bare, F.lit(".0"), F.lit(""))).otherwise(bare)
     return F.when(~F.lower(bare).isin("", "nan"), whole)
 

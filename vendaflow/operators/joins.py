@@ -30,6 +30,17 @@ def row_bytes(schema: T.StructType) -> Column:
     return size.cast("bigint")
 
 
+def measure(df: DataFrame, rows: int, limit: int) -> Sized:
+    """Size of a table not written by this package. `rows`: its row count, from file footers.
+
+    The columns are read only if that many of the narrowest rows could fit the limit.
+    """
+    least = rows * 8 * (len(df.columns) + 3)
+    if least <= limit:
+        least = df.agg(F.sum(row_bytes(df.schema))).first()[0] or 0
+    return Sized(df, rows, least)
+
+
 def hinted(dim: Sized, columns: DataFrame, limit: int) -> DataFrame:
     """`columns` (a projection of `dim`) with a broadcast hint if `dim` is small enough.
 

@@ -21,6 +21,7 @@ NUMBERS = {
     "discount": "decimal(6,4)",
     "profit": "decimal(12,4)",
 }
+DATES = ["order_date", "ship_date"]
 MARGIN = "margem_lucro_pct"
 PROBLEMS = "problems"
 
@@ -53,22 +54,24 @@ def canonical_columns(df: DataFrame) -> DataFrame:
 
 
 def _source_value(column: str, kind: T.DataType) -> Column:
-    value = F.col(column)
-    return known(value) if isinstance(kind, T.StringType) else value
+    """The value as it came; a text for a missing value is NULL, a parsed text is stripped."""
+    if column == "postal_code":
+        return strip(F.col(column).cast("string"))
+    if not isinstance(kind, T.StringType):
+        return F.col(column)
+    parsed = column in NUMBERS or column in DATES
+    return known(strip(F.col(column)) if parsed else F.col(column))
 
 
 def _date(value: Column, kind: T.DataType) -> Column:
     if not isinstance(kind, T.StringType):
         return F.to_date(value)
-    text = strip(value)
-    tries = [F.try_to_timestamp(text)]
-    tries += [F.try_to_timestamp(text, F.lit(f)) for f in DATE_FORMATS]
+    tries = [F.try_to_timestamp(value)]
+    tries += [F.try_to_timestamp(value, F.lit(f)) for f in DATE_FORMATS]
     return F.to_date(F.coalesce(*tries))
 
 
 def _number(value: Column, kind: T.DataType, target: str) -> Column:
-    if isinstance(kind, T.StringType):
-        value = strip(value)
     if target in ("int", "bigint") and not isinstance(kind, T.IntegralType):
         value = value.try_cast("decimal(38,4)")  # '3.0' and 3.7 become 3
     return value.try_cast(target)
@@ -78,25 +81,26 @@ def stage(source: DataFrame) -> DataFrame:
     """Typed canonical columns, the row margin, and what is wrong with the row.
 
     `problems` is NULL for a good row, else the names of the offending columns. Text
-    columns are parsed; columns that arrive typed are only cast.
+    columns are parsed; columns that arrive typed are only cast. Each step is a projection
+    of its own, so a value used several times is computed once.
     """
     flat = canonical_columns(source)
     kinds = {f.name: f.dataType for f in flat.schema}
-    raw = {c: _source_value(c, kinds[c]) for c in CANONICAL}
+    raw = flat.select(*[_source_value(c, kinds[c]).alias(c) for c in CANONICAL])
 
     typed: dict[str, Column] = {}
     for c in CANONICAL:
-        if c in ("order_date", "ship_date"):
-            typed[c] = _date(raw[c], kinds[c])
+        if c in DATES:
+            typed[c] = _date(F.col(c), kinds[c])
         elif c in NUMBERS:
-            typed[c] = _number(raw[c], kinds[c], NUMBERS[c])
+            typed[c] = _number(F.col(c), kinds[c], NUMBERS[c])
         elif c == "postal_code":
-            typed[c] = normalize_postal(F.col(c).cast("string"))
+            typed[c] = normalize_postal(F.col(c))
         else:
-            typed[c] = raw[c].cast("string")
-    sales, profit = (_number(raw[c], kinds[c], "double") for c in ("sales", "profit"))
+            typed[c] = F.col(c).cast("string")
+    sales, profit = (F.col(c).try_cast("double") for c in ("sales", "profit"))
     typed[MARGIN] = row_margin(profit, sales).try_cast("decimal(8,4)")
-    clean = flat.select(*[e.alias(c) for c, e in typed.items()])
+    clean = raw.select(*[e.alias(c) for c, e in typed.items()])
 
     bad = {c: F.col(c).isNull() for c in clean.columns if c != "postal_code"}
     for c, limit in TEXT_LIMITS.items():

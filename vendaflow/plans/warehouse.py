@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 
 from vendaflow.errors import LoadError
@@ -14,8 +14,8 @@ from vendaflow.operators.fact import FOREIGN_KEYS, build_fact, number_sales
 from vendaflow.operators.joins import BROADCAST_BYTES, Sized, row_bytes
 from vendaflow.operators.staging import PROBLEMS, stage
 from vendaflow.plans.star import Star
-from vendaflow.schema import DIMENSIONS, FATO_VENDAS, TABLES
-from vendaflow.session import scratch_path
+from vendaflow.schema import DIMENSIONS, FATO_VENDAS, TABLES, Table
+from vendaflow.session import path_exists, scratch_path
 
 MANIFEST = "load bigint, id string, name string, path string, rows bigint, bytes bigint"
 
@@ -40,18 +40,17 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self.limit = broadcast_bytes
+        self.staged: DataFrame | None = None  # the good rows of the last load by this object
 
     # -- reading -------------------------------------------------------------------
 
     def entries(self) -> list[Row]:
         """Name, path and size of each table of the newest load; empty before the first."""
-        try:
-            manifest = self.spark.read.schema(MANIFEST).parquet(f"{self.root}/loads")
-            newest = manifest.agg(F.max(F.struct("load", "id")).alias("m")).first().m
-        except AnalysisException as failure:
-            if "PATH_NOT_FOUND" in str(failure):
-                return []
-            raise
+        log = f"{self.root}/loads"
+        if not path_exists(self.spark, log):
+            return []
+        manifest = self.spark.read.schema(MANIFEST).parquet(log)
+        newest = manifest.agg(F.max(F.struct("load", "id")).alias("m")).first().m
         of_newest = (F.col("load") == newest.load) & (F.col("id") == newest.id)
         return manifest.filter(of_newest).collect()  # one row per table: six
 
@@ -101,14 +100,21 @@ class Warehouse:
                 raise LoadError(f"{rejected} unfit rows, for example: {_examples(staged)}")
             unfit = staged.filter(F.col(PROBLEMS).isNotNull())
             unfit.write.parquet(f"{self.root}/rejected/{load_id}")
-        good = staged.filter(F.col(PROBLEMS).isNull()).drop(PROBLEMS)
+        good = self.staged = staged.filter(F.col(PROBLEMS).isNull()).drop(PROBLEMS)
 
-        numbered = number_sales(good)
         before = self.tables()
-        written = {}
-        for table in DIMENSIONS:
+
+        def write_dimension(table: Table) -> tuple[str, int, int]:
             old = before[table.name].df if table.name in before else None
-            written[table.name] = self._write(merge(old, good, table), table.name, load_id)
+            return self._write(merge(old, good, table), table.name, load_id)
+
+        # Independent jobs over the staged rows: started together, so that the tail of one
+        # does not leave the cluster idle.
+        with ThreadPoolExecutor(len(DIMENSIONS) + 1) as pool:
+            numbering = pool.submit(number_sales, good)
+            writes = [pool.submit(write_dimension, t) for t in DIMENSIONS]
+            written = {t.name: w.result() for t, w in zip(DIMENSIONS, writes)}
+            numbered = numbering.result()
 
         dims = {n: Sized(self._read(n, p), rows, size) for n, (p, rows, size) in written.items()}
         fact = build_fact(numbered, dims, self.limit)

@@ -37,6 +37,7 @@ def local_session(app: str, cores: str = "8", **conf: str) -> SparkSession:
     """A single-JVM session as tests and the benchmark use it."""
     settings = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": cores if cores.isdigit() else "8",
         "spark.sql.session.timeZone": "UTC",
         "spark.driver.memory": "12g",
@@ -48,3 +49,10 @@ def local_session(app: str, cores: str = "8", **conf: str) -> SparkSession:
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path or glob names anything, on any file system Spark knows."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
+    return found is not None and len(found) > 0

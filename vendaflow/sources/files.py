@@ -4,30 +4,19 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from vendaflow.errors import SourceError
 from vendaflow.operators.staging import canonical_columns
+from vendaflow.session import path_exists
 from vendaflow.sources.xlsx import read_xlsx
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path or glob names any file, on any file system Spark knows."""
-    try:
-        listing = spark.read.format("binaryFile").load(path).select("path")
-        return not listing.isEmpty()
-    except AnalysisException as failure:
-        if "PATH_NOT_FOUND" in str(failure):
-            return False
-        raise
-
-
 def find_source(spark: SparkSession, folder: str, names: list[str]) -> str:
     """The first of `names`, in their order, that exists in `folder`."""
     for name in names:
         path = f"{folder.rstrip('/')}/{name}"
-        if exists(spark, path):
+        if path_exists(spark, path):
             return path
     raise SourceError(f"none of {', '.join(names)} found in {folder}")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from vendaflow.operators.joins import BROADCAST_BYTES, hinted, measure
 from vendaflow.operators.numbering import number_rows
 from vendaflow.schema import HEADERS
 
@@ -21,19 +22,39 @@ def numbered_lines(spark: SparkSession, folder: str) -> DataFrame:
     return number_rows(placed, [*LINE_ORDER, "_pos"], "row_id").drop("_pos")
 
 
-def flat_sales(spark: SparkSession, folder: str) -> DataFrame:
+def flat_sales(spark: SparkSession, folder: str, extra: tuple[str, ...] = ()) -> DataFrame:
     """One row per line item under English headers, with dirty postal codes.
 
-    Joins carry no hints: Spark broadcasts by file size, and AQE splits hot keys.
+    `extra` names line columns to carry along; staging ignores them.
+    Sides of a measured small size are broadcast; others are shuffled, and AQE splits
+    their hot keys.
     """
-    read = lambda name: spark.read.parquet(f"{folder}/{name}.parquet")
-    nations = read("nation").join(read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    customers = read("customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-    orders = read("orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    def read(name: str, *columns: str) -> DataFrame:
+        return spark.read.parquet(f"{folder}/{name}.parquet").select(*columns)
+
+    def sized(df: DataFrame, rows: int) -> DataFrame:
+        return hinted(measure(df, rows, BROADCAST_BYTES), df, BROADCAST_BYTES)
+
+    region, nation = read("region", "r_regionkey", "r_name"), read(
+        "nation", "n_nationkey", "n_name", "n_regionkey"
+    )
+    customer = read("customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    orders = read("orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    part = read("part", "p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
+
+    places = nation.join(
+        sized(region, region.count()), F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    buyers = customer.join(
+        sized(places, nation.count()), F.col("c_nationkey") == F.col("n_nationkey")
+    )
+    bought = orders.join(
+        sized(buyers, customer.count()), F.col("o_custkey") == F.col("c_custkey")
+    )
     sales = (
         numbered_lines(spark, folder)
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(read("part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(sized(bought, orders.count()), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(sized(part, part.count()), F.col("l_partkey") == F.col("p_partkey"))
     )
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     cost = F.col("l_quantity") * F.col("p_retailprice")
@@ -68,4 +89,4 @@ def flat_sales(spark: SparkSession, folder: str) -> DataFrame:
         "discount": F.col("l_discount").cast("decimal(6,4)"),
         "profit": (net - cost).cast("decimal(12,4)"),
     }
-    return sales.select(*[e.alias(HEADERS[c][0]) for c, e in columns.items()])
+    return sales.select(*[e.alias(HEADERS[c][0]) for c, e in columns.items()], *extra)
