@@ -44,7 +44,7 @@ def unique_check(df: DataFrame, table: Table, key: tuple[str, ...]) -> DataFrame
 def foreign_key_check(fact: DataFrame, dim: DataFrame, role_name: str) -> DataFrame:
     """Fact rows whose key has no member. Keys are counted first, so no hot key is shuffled."""
     role = ROLES[role_name]
-    members = dim.select(F.col(role.table.key).alias("_member"))
+    members = dim.select(F.col(role.table.key).alias("_member")).distinct()
     per_key = fact.groupBy(role.foreign_key).agg(F.count("*").alias("n"))
     match = per_key[role.foreign_key] == members["_member"]
     found = per_key.join(members, match, "left")

@@ -17,6 +17,9 @@ from vendaflow.plans.star import Star
 from vendaflow.schema import DIMENSIONS, FATO_VENDAS, TABLES, Table
 from vendaflow.session import path_exists, scratch_path
 
+# From this many rows on, the fact is shuffled once more so that each file holds one year.
+# Below it, tasks times years is a small number of files and the shuffle is not worth it.
+COMPACT_ROWS = 50_000_000
 MANIFEST = "load bigint, id string, name string, path string, rows bigint, bytes bigint"
 
 
@@ -36,10 +39,17 @@ class Warehouse:
     and a failed one changes nothing.
     """
 
-    def __init__(self, spark: SparkSession, root: str, broadcast_bytes: int = BROADCAST_BYTES):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        broadcast_bytes: int = BROADCAST_BYTES,
+        compact_rows: int = COMPACT_ROWS,
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.limit = broadcast_bytes
+        self.compact_rows = compact_rows
         self.staged: DataFrame | None = None  # the good rows of the last load by this object
 
     # -- reading -------------------------------------------------------------------
@@ -118,6 +128,8 @@ class Warehouse:
 
         dims = {n: Sized(self._read(n, p), rows, size) for n, (p, rows, size) in written.items()}
         fact = build_fact(numbered, dims, self.limit)
+        if extracted >= self.compact_rows:
+            fact = fact.hint("rebalance", "ano_pedido")  # AQE splits a hot year
         written["fato_vendas"] = self._write_fact(fact, load_id)
         self._publish(written, load_id)
         return LoadSummary(
