@@ -15,8 +15,9 @@ def strip(text: Column) -> Column:
 
 
 def known(text: Column) -> Column:
-    """The text, or NULL where it is a word for a missing value."""
-    return F.when(~text.isin(NULL_WORDS), text)
+    """The text, or NULL where it is a word for a missing value. Long texts are not looked up."""
+    longest = max(map(len, NULL_WORDS))
+    return F.when((F.octet_length(text) > longest) | ~text.isin(NULL_WORDS), text)
 
 
 def normalize_postal(bare: Column) -> Column:

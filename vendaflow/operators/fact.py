@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, functions as F
 
 from vendaflow.errors import LoadError
-from vendaflow.operators.joins import Sized, hinted, same_key
+from vendaflow.operators.joins import Sized, hot_keys, same_key, spread_join
 from vendaflow.operators.numbering import number_rows
 from vendaflow.schema import FATO_VENDAS, ROLES
 
@@ -51,20 +53,24 @@ def look_up(rows: DataFrame, role_name: str, dim: Sized, limit: int) -> DataFram
         F.col(role.table.key).alias(role.foreign_key),
     )
     pairs = [(a, f"_nk_{b}") for a, b in zip(LOOKUP[role_name], role.table.natural)]
-    if role.table.nullable:
-        match = same_key(rows, keys, pairs)
+    null_safe = bool(role.table.nullable)
+    if dim.fits(limit):
+        joined = rows.join(F.broadcast(keys), same_key(rows, keys, pairs, null_safe), "left")
     else:
-        match = [rows[a] == keys[b] for a, b in pairs]
-    joined = rows.join(hinted(dim, keys, limit), match, "left")
+        joined = spread_join(rows, keys, pairs, "left", dim.hot, ["row_id"], null_safe)
     return joined.drop(*[b for _, b in pairs])
 
 
 def build_fact(numbered: DataFrame, dims: dict[str, Sized], limit: int) -> DataFrame:
     """Fact rows with all six keys looked up; small dimensions first, then large ones."""
+    sized = {role: dims[ROLES[role].table.name] for role in LOOKUP}
+    large = [role for role in LOOKUP if not sized[role].fits(limit)]
+    if large:
+        hot = hot_keys(numbered, *[LOOKUP[role] for role in large])
+        sized.update({r: replace(sized[r], hot=h) for r, h in zip(large, hot)})
     rows = numbered
-    by_size = sorted(LOOKUP, key=lambda r: not dims[ROLES[r].table.name].fits(limit))
-    for role in by_size:
-        rows = look_up(rows, role, dims[ROLES[role].table.name], limit)
+    for role in [*(r for r in LOOKUP if r not in large), *large]:
+        rows = look_up(rows, role, sized[role], limit)
     values = {
         "vendas": F.col("sales"),
         "quantidade": F.col("quantity"),

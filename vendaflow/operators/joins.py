@@ -1,13 +1,20 @@
-"""Joining a dimension, broadcast only when its measured size allows."""
+"""Joining a dimension: broadcast if its measured size allows, else with hot keys spread."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import math
+from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 BROADCAST_BYTES = 128 * 1024 * 1024
 
+# A sketch of this many keys finds every key above 0.14 % of the rows (1 / 0.75 / 1024).
+# Keys above HOT_SHARE are spread; there can be at most 1 / HOT_SHARE of them.
+SKETCH_KEYS = 1024
+HOT_SHARE = 0.004
+
 
 @dataclass(frozen=True)
 class Sized:
@@ -16,6 +23,7 @@ class Sized:
     df: DataFrame
     rows: int
     bytes: int
+    hot: dict[int, float] = field(default_factory=dict)  # of the fact's keys, see hot_keys
 
     def fits(self, limit: int) -> bool:
         return self.bytes <= limit
@@ -41,17 +49,71 @@ def measure(df: DataFrame, rows: int, limit: int) -> Sized:
     return Sized(df, rows, least)
 
 
-def hinted(dim: Sized, columns: DataFrame, limit: int) -> DataFrame:
-    """`columns` (a projection of `dim`) with a broadcast hint if `dim` is small enough.
-
-    Beyond the limit the join stays a shuffle join and AQE splits hot keys.
-    """
-    return F.broadcast(columns) if dim.fits(limit) else columns
-
-
-def same_key(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
-    """NULL-safe equality on all pairs: a missing part matches a missing part."""
+def same_key(
+    left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], null_safe: bool = True
+) -> Column:
+    """Equality on all pairs. NULL-safe: a missing part matches a missing part."""
     condition = F.lit(True)
     for a, b in pairs:
-        condition = condition & left[a].eqNullSafe(right[b])
+        condition = condition & (
+            left[a].eqNullSafe(right[b]) if null_safe else left[a] == right[b]
+        )
     return condition
+
+
+def hot_keys(rows: DataFrame, *keys: Sequence[str]) -> list[dict[int, float]]:
+    """For each key, the hash of its frequent values and their share of the rows.
+
+    One scan of the key columns; the sketches have a fixed size and merge in map tasks.
+    A hash collision or a wrong estimate moves rows to other tasks, never to other results.
+    """
+    kept = math.ceil(1 / HOT_SHARE)
+    tops = [
+        F.call_function("approx_top_k", F.xxhash64(*k), F.lit(kept), F.lit(SKETCH_KEYS)).alias(f"k{i}")
+        for i, k in enumerate(keys)
+    ]
+    total, *found = rows.agg(F.count("*"), *tops).first()
+    return [
+        {top["item"]: top["count"] / total for top in items if top["count"] > HOT_SHARE * total}
+        for items in found
+    ]
+
+
+def spread_join(
+    rows: DataFrame,
+    dim: DataFrame,
+    pairs: list[tuple[str, str]],
+    how: str,
+    hot: dict[int, float],
+    by: Sequence[str],
+    null_safe: bool = False,
+) -> DataFrame:
+    """Shuffle join in which the rows of a hot key go to many tasks.
+
+    A hot key is cut by a hash of the `by` columns into pieces of a quarter of the mean
+    partition, and its dimension row is repeated for each piece: in all about four rows per
+    shuffle partition. `by` must differ among the rows of one key.
+    """
+    if not hot:
+        return rows.join(dim, same_key(rows, dim, pairs, null_safe), how)
+    spark = rows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cuts = [(key, max(2, math.ceil(4 * share * parts))) for key, share in hot.items()]
+    cut = F.broadcast(spark.createDataFrame(cuts, "_hash bigint, _cuts int"))
+
+    piece = F.coalesce(F.pmod(F.xxhash64(*by), F.col("_cuts")), F.lit(0)).cast("int")
+    many = (
+        rows.withColumn("_hash", F.xxhash64(*[a for a, _ in pairs]))
+        .join(cut, "_hash", "left")
+        .withColumn("_piece", piece)
+        .drop("_hash", "_cuts")
+    )
+    pieces = F.sequence(F.lit(0), F.coalesce("_cuts", F.lit(1)) - 1)
+    repeated = (
+        dim.withColumn("_hash", F.xxhash64(*[b for _, b in pairs]))
+        .join(cut, "_hash", "left")
+        .withColumn("_copy", F.explode(pieces))
+        .drop("_hash", "_cuts")
+    )
+    match = same_key(many, repeated, pairs, null_safe) & (many["_piece"] == repeated["_copy"])
+    return many.join(repeated, match, how).drop("_piece", "_copy")

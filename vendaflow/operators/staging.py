@@ -11,8 +11,8 @@ from vendaflow.functions.measures import row_margin
 from vendaflow.functions.text import known, normalize_postal, strip
 from vendaflow.schema import CANONICAL, CANONICAL_OF, OPTIONAL, TEXT_LIMITS
 
-# Accepted date texts besides ISO ones; the month comes first.
-DATE_FORMATS = ["M/d/yyyy[ H:mm[:ss]]", "M-d-yyyy[ H:mm[:ss]]"]
+# Accepted date texts besides ISO ones, by separator; the month comes first.
+DATE_FORMATS = {"/": "M/d/yyyy[ H:mm[:ss]]", "-": "M-d-yyyy[ H:mm[:ss]]"}
 
 NUMBERS = {
     "row_id": "bigint",
@@ -67,7 +67,9 @@ def _date(value: Column, kind: T.DataType) -> Column:
     if not isinstance(kind, T.StringType):
         return F.to_date(value)
     tries = [F.try_to_timestamp(value)]
-    tries += [F.try_to_timestamp(value, F.lit(f)) for f in DATE_FORMATS]
+    for separator, form in DATE_FORMATS.items():
+        parsed = F.try_to_timestamp(value, F.lit(form))
+        tries.append(F.when(value.contains(separator), parsed))
     return F.to_date(F.coalesce(*tries))
 
 
@@ -104,7 +106,8 @@ def stage(source: DataFrame) -> DataFrame:
 
     bad = {c: F.col(c).isNull() for c in clean.columns if c != "postal_code"}
     for c, limit in TEXT_LIMITS.items():
-        too_long = F.length(c) > limit
+        # Characters are counted only where the bytes exceed the limit.
+        too_long = (F.octet_length(c) > limit) & (F.length(c) > limit)
         bad[c] = bad[c] | too_long if c in bad else F.coalesce(too_long, F.lit(False))
     any_bad = F.lit(False)
     for test in bad.values():

@@ -9,7 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vendaflow.functions.measures import SUM, margin_pct, mean_line
-from vendaflow.operators.joins import Sized, hinted
+from vendaflow.operators.joins import Sized, spread_join
 from vendaflow.schema import ROLES
 
 # Attribute names as queries use them: name -> (role, dimension column).
@@ -108,8 +108,11 @@ class Star:
     def _small(self, role: str) -> bool:
         return self.tables[ROLES[role].table.name].fits(self.limit)
 
-    def _join(self, rows: DataFrame, role_name: str, names: Sequence[str], chosen) -> DataFrame:
+    def _join(
+        self, rows: DataFrame, role_name: str, names: Sequence[str], chosen, by: Sequence[str]
+    ) -> DataFrame:
         """Inner join of one dimension: its named attributes, its filters applied first.
+        `by` tells the rows of one key apart.
 
         Every fact key has a member (checked at load), so a dimension that no attribute
         or filter names can be left out without changing a result.
@@ -126,8 +129,11 @@ class Star:
             F.col(role.table.key).alias(key),
             *[F.col(ATTRIBUTES[n][1]).alias(n) for n in mine],
         )
-        match = rows[role.foreign_key] == members[key]
-        return rows.join(hinted(dim, members, self.limit), match).drop(key)
+        if dim.fits(self.limit):
+            match = rows[role.foreign_key] == members[key]
+            return rows.join(F.broadcast(members), match).drop(key)
+        pairs = [(role.foreign_key, key)]
+        return spread_join(rows, members, pairs, "inner", dim.hot, by).drop(key)
 
     def fact(self, filters: Filters) -> DataFrame:
         """The fact; a choice of years prunes its partitions."""
@@ -140,7 +146,7 @@ class Star:
         """Fact rows with the named attributes."""
         rows, chosen = self.fact(filters), filters.chosen()
         for role in self._roles([*names, *chosen]):
-            rows = self._join(rows, role, names, chosen)
+            rows = self._join(rows, role, names, chosen, ["row_id"])
         return rows
 
     def aggregate(
@@ -154,7 +160,7 @@ class Star:
         small = [r for r in roles if self._small(r)]
         large = [r for r in roles if not self._small(r)]
         for role in small:
-            rows = self._join(rows, role, by, chosen)
+            rows = self._join(rows, role, by, chosen, [])
         if large:
             kept = [n for n in by if ATTRIBUTES[n][0] in small]
             keys = [ROLES[r].foreign_key for r in large]
@@ -162,7 +168,7 @@ class Star:
             groups = list(dict.fromkeys([*kept, *keys, *counted]))
             rows = rows.groupBy(*groups).agg(*[F.sum(c).alias(c) for c in SUMMED])
             for role in large:
-                rows = self._join(rows, role, by, chosen)
+                rows = self._join(rows, role, by, chosen, groups)
         return rows.groupBy(*by).agg(*[m.column for m in measures])
 
     def shared(self, filters: Filters = Filters()) -> SharedStar:

@@ -11,16 +11,19 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as
 from vendaflow.errors import LoadError
 from vendaflow.operators.dimensions import merge
 from vendaflow.operators.fact import FOREIGN_KEYS, build_fact, number_sales
-from vendaflow.operators.joins import BROADCAST_BYTES, Sized, row_bytes
+from vendaflow.operators.joins import BROADCAST_BYTES, Sized, hot_keys, row_bytes
 from vendaflow.operators.staging import PROBLEMS, stage
 from vendaflow.plans.star import Star
-from vendaflow.schema import DIMENSIONS, FATO_VENDAS, TABLES, Table
+from vendaflow.schema import DIMENSIONS, FATO_VENDAS, ROLES, TABLES, Table
 from vendaflow.session import path_exists, scratch_path
 
 # From this many rows on, the fact is shuffled once more so that each file holds one year.
 # Below it, tasks times years is a small number of files and the shuffle is not worth it.
 COMPACT_ROWS = 50_000_000
-MANIFEST = "load bigint, id string, name string, path string, rows bigint, bytes bigint"
+MANIFEST = (
+    "load bigint, id string, name string, path string, rows bigint, bytes bigint, "
+    "hot map<bigint, double>"
+)
 
 
 @dataclass
@@ -60,14 +63,13 @@ class Warehouse:
         if not path_exists(self.spark, log):
             return []
         manifest = self.spark.read.schema(MANIFEST).parquet(log)
-        newest = manifest.agg(F.max(F.struct("load", "id")).alias("m")).first().m
-        of_newest = (F.col("load") == newest.load) & (F.col("id") == newest.id)
-        return manifest.filter(of_newest).collect()  # one row per table: six
+        newest_first = manifest.orderBy(F.desc("load"), F.desc("id"))
+        return newest_first.limit(len(TABLES)).collect()
 
     def tables(self) -> dict[str, Sized]:
         """The tables of the newest load; empty before the first."""
         return {
-            e["name"]: Sized(self._read(e["name"], e.path), e.rows, e.bytes)
+            e["name"]: Sized(self._read(e["name"], e.path), e.rows, e.bytes, e.hot or {})
             for e in self.entries()
         }
 
@@ -131,7 +133,7 @@ class Warehouse:
         if extracted >= self.compact_rows:
             fact = fact.hint("rebalance", "ano_pedido")  # AQE splits a hot year
         written["fato_vendas"] = self._write_fact(fact, load_id)
-        self._publish(written, load_id)
+        self._publish(written, load_id, self._hot(dims, written["fato_vendas"][0]))
         return LoadSummary(
             extracted, written["fato_vendas"][1], rejected,
             {n: rows for n, (_, rows, _) in written.items() if n != "fato_vendas"},
@@ -173,10 +175,30 @@ class Warehouse:
         rows = seen.get["rows"]
         return path, rows, rows * 8 * len(FATO_VENDAS.columns)
 
-    def _publish(self, written: dict[str, tuple[str, int, int]], load_id: str) -> None:
+    def _hot(self, dims: dict[str, Sized], fact_path: str) -> dict[str, dict[int, float]]:
+        """Frequent fact keys of the dimensions that reports cannot broadcast."""
+        large = [r for r in ROLES.values() if not dims[r.table.name].fits(self.limit)]
+        if not large:
+            return {}
+        fact = self._read(FATO_VENDAS.name, fact_path)
+        found = hot_keys(fact, *[[r.foreign_key] for r in large])
+        hot: dict[str, dict[int, float]] = {}
+        for role, keys in zip(large, found):
+            hot.setdefault(role.table.name, {}).update(keys)
+        return hot
+
+    def _publish(
+        self,
+        written: dict[str, tuple[str, int, int]],
+        load_id: str,
+        hot: dict[str, dict[int, float]] | None = None,
+    ) -> None:
         """Append one file that names all tables of the load."""
         last = max((e.load for e in self.entries()), default=0)
-        lines = [(last + 1, load_id, n, p, rows, size) for n, (p, rows, size) in written.items()]
+        lines = [
+            (last + 1, load_id, n, p, rows, size, (hot or {}).get(n, {}))
+            for n, (p, rows, size) in written.items()
+        ]
         entries = self.spark.createDataFrame(lines, MANIFEST)
         entries.coalesce(1).write.mode("append").parquet(f"{self.root}/loads")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vendaflow.operators.joins import BROADCAST_BYTES, hinted, measure
+from vendaflow.operators.joins import BROADCAST_BYTES, hot_keys, measure, spread_join
 from vendaflow.operators.numbering import number_rows
 from vendaflow.schema import HEADERS
 
@@ -26,14 +26,18 @@ def flat_sales(spark: SparkSession, folder: str, extra: tuple[str, ...] = ()) ->
     """One row per line item under English headers, with dirty postal codes.
 
     `extra` names line columns to carry along; staging ignores them.
-    Sides of a measured small size are broadcast; others are shuffled, and AQE splits
-    their hot keys.
+    Sides of a measured small size are broadcast; others are shuffled with hot keys spread.
     """
     def read(name: str, *columns: str) -> DataFrame:
         return spark.read.parquet(f"{folder}/{name}.parquet").select(*columns)
 
-    def sized(df: DataFrame, rows: int) -> DataFrame:
-        return hinted(measure(df, rows, BROADCAST_BYTES), df, BROADCAST_BYTES)
+    def join(rows, base, key, side, count, own, by):
+        """Inner join on rows[key] = side[own]. `base`: the table that brought the key into
+        `rows`, where its hot values are looked for; `by` identifies a row of `rows`."""
+        if measure(side, count, BROADCAST_BYTES).fits(BROADCAST_BYTES):
+            return rows.join(F.broadcast(side), rows[key] == side[own])
+        (hot,) = hot_keys(base, [key])
+        return spread_join(rows, side, [(key, own)], "inner", hot, [by])
 
     region, nation = read("region", "r_regionkey", "r_name"), read(
         "nation", "n_nationkey", "n_name", "n_regionkey"
@@ -42,20 +46,18 @@ def flat_sales(spark: SparkSession, folder: str, extra: tuple[str, ...] = ()) ->
     orders = read("orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     part = read("part", "p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
 
-    places = nation.join(
-        sized(region, region.count()), F.col("n_regionkey") == F.col("r_regionkey")
+    lines = numbered_lines(spark, folder)
+    places = join(
+        nation, nation, "n_regionkey", region, region.count(), "r_regionkey", "n_nationkey"
     )
-    buyers = customer.join(
-        sized(places, nation.count()), F.col("c_nationkey") == F.col("n_nationkey")
+    buyers = join(
+        customer, customer, "c_nationkey", places, nation.count(), "n_nationkey", "c_custkey"
     )
-    bought = orders.join(
-        sized(buyers, customer.count()), F.col("o_custkey") == F.col("c_custkey")
-    )
-    sales = (
-        numbered_lines(spark, folder)
-        .join(sized(bought, orders.count()), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(sized(part, part.count()), F.col("l_partkey") == F.col("p_partkey"))
+    bought = join(
+        orders, orders, "o_custkey", buyers, customer.count(), "c_custkey", "o_orderkey"
     )
+    sales = join(lines, lines, "l_orderkey", bought, orders.count(), "o_orderkey", "row_id")
+    sales = join(sales, lines, "l_partkey", part, part.count(), "p_partkey", "row_id")
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     cost = F.col("l_quantity") * F.col("p_retailprice")
     tail = F.col("c_custkey") % 10
