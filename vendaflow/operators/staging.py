@@ -82,7 +82,7 @@ def _number(value: Column, kind: T.DataType, target: str) -> Column:
 def stage(source: DataFrame) -> DataFrame:
     """Typed canonical columns, the row margin, and what is wrong with the row.
 
-    `problems` is NULL for a good row, else the names of the offending columns. Text
+    `problems` is NULL for a good row, else the offending columns with commas between. Text
     columns are parsed; columns that arrive typed are only cast. Each step is a projection
     of its own, so a value used several times is computed once.
     """
@@ -112,5 +112,6 @@ def stage(source: DataFrame) -> DataFrame:
     any_bad = F.lit(False)
     for test in bad.values():
         any_bad = any_bad | test
-    names = F.array_compact(F.array(*[F.when(test, F.lit(c)) for c, test in bad.items()]))
+    # concat_ws skips NULLs and, unlike array functions with a lambda, stays in generated code.
+    names = F.concat_ws(",", *[F.when(test, F.lit(c)) for c, test in bad.items()])
     return clean.withColumn(PROBLEMS, F.when(any_bad, names))
