@@ -120,6 +120,10 @@ def test_paths_for_large_data_load_the_same(spark, conf, house, tmp_path, option
     for name, table in house.tables().items():
         assert table.df.exceptAll(other.tables()[name].df).isEmpty()
         assert table.rows == other.tables()[name].rows
+    if "broadcast_bytes" in options:
+        assert other.tables()["dim_envio"].hot and not house.tables()["dim_envio"].hot
+    for report in (reports.vendas_detalhadas, reports.modo_envio, reports.habitos):
+        assert report(other.star()).exceptAll(report(house.star())).isEmpty()
 
 
 def test_compact_write_makes_one_file_per_year(spark, house, tmp_path):
