@@ -21,6 +21,15 @@ from vendaflow.sources.workbooks import pack_workbooks
 from vendaflow.sources.tables import flat_sales
 from vendaflow.sources.xlsx import parse_workbooks
 
+try:
+    import corpus_pipeline
+    from vendaflow.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    # Only the optional subpackage itself may be missing.
+    if missing.name not in ("corpus_pipeline", "vendaflow.llm"):
+        raise
+    llm_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The same values as oracle.CHOSEN.
@@ -286,11 +295,18 @@ def queries() -> dict[str, Query]:
     for name, report in reports.VIEWS.items():
         registered[name] = on_star(report)
         registered[f"sql_{name}"] = on_sql(f"SELECT * FROM dw.{name}")
+    if llm_queries:
+        registered |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
     return registered
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.oracles()
+    sql = oracle.oracles()
+    if llm_queries:
+        sql |= llm_queries.ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return sql
 
 
 def entry(spark: SparkSession) -> DataFrame:
