@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vendaflow.llm import benchmark, pieces, quality, simhash
+from vendaflow.llm import benchmark, pieces, quality, simhash, substrings
 from vendaflow.llm.common import saved, table
 from vendaflow.llm.queries import VOCABULARY, quality_model
 
@@ -20,6 +20,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.near_dedup(docs, words_per_shingle=4, max_bits=4)
 
 
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents without passages of 20 words that occur earlier."""
+    return substrings.without_repeats(docs, window=20)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that hold no benchmark item."""
     return benchmark.without_items(docs, table(spark, sf_dir, "benchmark"))
@@ -33,6 +38,7 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality classifier", quality_classifier),
     ("SimHash near-dedup", near_duplicates),
+    ("substring dedup", repeated_passages),
     ("benchmark decontamination", decontamination),
     ("SentencePiece encoding and decoding", encoding),
 ]

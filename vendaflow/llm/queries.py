@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import public_tokenizers
-from vendaflow.llm import benchmark, language, pieces, quality, simhash, urls, vectors, warc
+from vendaflow.llm import (
+    benchmark, language, pieces, quality, simhash, substrings, suffixes, urls, vectors, warc,
+)
 from vendaflow.llm.common import table
 from vendaflow.session import scratch_path
 
@@ -17,6 +19,17 @@ def remainder(n: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
 
 
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.remove_repeats(table(spark, sf_dir, "documents"), window=200)
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     entries = urls.intervals(urls.list_changes(pages))
@@ -72,7 +85,14 @@ def embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(table(spark, sf_dir, "documents"), window=20)
+    kept = F.sha2(F.col("kept").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
+
+
 QUERIES = {
+    "op1_suffix_dedup": suffix_dedup,
     "op2_url_filters": url_filters,
     "op3_language_id": language_id,
     "op4_sentencepiece": sentencepiece,
@@ -81,6 +101,7 @@ QUERIES = {
     "op7_decontamination": decontamination,
     "op8_quality": quality_scores,
     "op9_embedding_dedup": embedding_groups,
+    "op10_substring_dedup": substring_dedup,
 }
 
 ORACLE_SQL = {
