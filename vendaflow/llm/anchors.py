@@ -137,7 +137,10 @@ def keyed(docs: DataFrame, *others: str) -> DataFrame:
         doc_key(),
         F.hash(text).alias("tag"),
         text.alias("text"),
-        F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in others]).alias("others"),
+        F.struct(
+            F.col("text").isNull().alias("no_text"),
+            *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)],
+        ).alias("others"),
     )
 
 
@@ -210,8 +213,8 @@ def with_texts(
 ) -> DataFrame:
     """`run` over an iterator of (doc, text, tag, rows, others): each text with its own rows.
 
-    `rows` are a text's rows as a list of dicts, or None; `others` the named columns of the
-    document as a dict. Texts are shuffled compressed.
+    `rows` are a text's rows as a list of dicts, or None; `others` a dict: no_text, if the
+    text is null, and c0, c1, ..., the other columns asked for. Texts are shuffled compressed.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -163,6 +163,6 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
                     }
                 )
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
         run, "doc_id bigint, lang_pred string, score double"
     )

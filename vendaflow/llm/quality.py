@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from vendaflow.llm.common import column, text_or_empty
 
@@ -120,9 +120,9 @@ class FactorisationMachine:
 
 
 def train(
-    rows: list[tuple], labels: np.ndarray, rank: int, passes: int, rate: float, decay: float, seed: int
+    rows: list[tuple], labels: np.ndarray, rank: int, steps: int, rate: float, decay: float, seed: int
 ) -> FactorisationMachine:
-    """Logistic loss by AdaGrad over small batches."""
+    """Logistic loss by AdaGrad: about `steps` batches of 64 rows, in whole passes."""
     random = np.random.default_rng(seed)
     stats = np.array([r[2] for r in rows], dtype=np.float64)
     edges = np.quantile(stats, np.linspace(0, 1, EDGES + 2)[1:-1], axis=0).T
@@ -133,7 +133,7 @@ def train(
         random.normal(0, 0.05, (n, rank)).astype(np.float32),
     )
     seen_w, seen_v = np.full(n, 1e-6, np.float32), np.full((n, rank), 1e-6, np.float32)
-    for _ in range(passes):
+    for _ in range(max(1, steps * 64 // len(rows))):
         order = random.permutation(len(rows))
         for at in range(0, len(order), 64):
             chosen = order[at : at + 64]
@@ -157,7 +157,7 @@ def train(
 
 
 def fit(
-    docs: DataFrame, labelled: DataFrame, most: int = 12_000, rank: int = 6, passes: int = 6,
+    docs: DataFrame, labelled: DataFrame, most: int = 12_000, rank: int = 6, steps: int = 1200,
     rate: float = 0.1, decay: float = 1e-5, seed: int = 11,
 ) -> FactorisationMachine | None:
     """Learn from the documents whose doc_id has a quality of 0 or 1 in `labelled`.
@@ -199,7 +199,7 @@ def fit(
         for s, w, t in zip(got["slots"], got["weights"], got["stats"])
     ]
     labels = got["quality"].to_numpy().astype(np.float32)
-    return train(rows, labels, rank, passes, rate, decay, seed) if rows else None
+    return train(rows, labels, rank, steps, rate, decay, seed) if rows else None
 
 
 def hash_row(stats: list[float]) -> int:
@@ -208,8 +208,12 @@ def hash_row(stats: list[float]) -> int:
 
 
 def with_declared(docs: DataFrame) -> DataFrame:
-    declared = F.col("n_chars").cast("bigint") if "n_chars" in docs.columns else F.lit(None).cast("bigint")
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", declared.alias("declared"))
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", declared_in(docs).alias("declared"))
+
+
+def declared_in(docs: DataFrame) -> Column:
+    """The number of characters that the metadata names, null if there is none."""
+    return F.col("n_chars").try_cast("bigint") if "n_chars" in docs.columns else F.lit(None).cast("bigint")
 
 
 def scores(docs: DataFrame, model: FactorisationMachine | None) -> DataFrame:
@@ -239,20 +243,19 @@ def scores(docs: DataFrame, model: FactorisationMachine | None) -> DataFrame:
 def keep_good(docs: DataFrame, model: FactorisationMachine | None, least: float = 0.3) -> DataFrame:
     """The documents with a score of at least `least`; columns as they are."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = docs.columns
+    names, extra = docs.columns, "declared"
+    while extra in names:
+        extra += "_"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 128):
                 batch = whole.slice(at, 128)
                 if shared.value is not None:
-                    declared = (
-                        column(batch, "n_chars") if "n_chars" in names else [None] * batch.num_rows
-                    )
                     found = shared.value.score(
-                        [features(t, n) for t, n in zip(column(batch, "text"), declared)]
+                        [features(t, n) for t, n in zip(column(batch, "text"), column(batch, extra))]
                     )
                     batch = batch.filter(pa.array(found >= least))
-                yield batch
+                yield batch.select(names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.withColumn(extra, declared_in(docs)).mapInArrow(run, docs.schema)

@@ -57,7 +57,7 @@ def fingerprints(docs: DataFrame, words_per_shingle: int = 4) -> DataFrame:
                 }
             )
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
         run, "doc_id bigint, fp bigint"
     )
 
@@ -270,4 +270,4 @@ def near_dedup(docs: DataFrame, words_per_shingle: int = 4, max_bits: int = 4) -
         .select("doc_id")
         .distinct()
     )
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from vendaflow.llm.anchors import (
@@ -255,9 +255,12 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
 def without_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     """The documents with repeated passages cut from their texts, which are else unchanged.
 
-    n_chars, if there, becomes the length of a text that was cut. Null texts stay null.
+    n_chars, if it is there as a whole number, becomes the length of a text that was cut. Null
+    texts stay null.
     """
     names = docs.columns
+    kept = [n for n in names if n != "text"]
+    counted = "n_chars" in names and isinstance(docs.schema["n_chars"].dataType, T.IntegralType)
 
     def cleaned(texts: Iterator[tuple]) -> Iterator[tuple]:
         for _, text, _, own, others in texts:
@@ -269,16 +272,15 @@ def without_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
                     parts.append(text[end : at[a][0]])
                     end = at[b][0] if b < len(at) else len(text)
                 text = "".join([*parts, text[end:]])
-                if others.get("n_chars") is not None:
-                    others["n_chars"] = len(text)
-            others["text"] = text if others["had_text"] else None
-            yield size, tuple(others[n] for n in names)
+            row = dict(zip(kept, [others[f"c{i}"] for i in range(len(kept))]))
+            if own and row.get("n_chars") is not None and counted:
+                row["n_chars"] = len(text)
+            row["text"] = None if others["no_text"] else text
+            yield size, tuple(row[n] for n in names)
 
     schema = to_arrow_schema(docs.schema)
 
     def run(texts: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
         return row_batches(cleaned(texts), schema)
 
-    marked = docs.withColumn("had_text", F.col("text").isNotNull())
-    others = (*[n for n in names if n != "text"], "had_text")
-    return with_texts(marked, repeated_spans(docs, window), run, docs.schema, others)
+    return with_texts(docs, repeated_spans(docs, window), run, docs.schema, tuple(kept))

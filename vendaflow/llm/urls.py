@@ -64,25 +64,25 @@ def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
 
     A capture is judged by the entries valid on the day it was fetched: the longest pattern
     decides, of equal ones `block` before `allow`, then the later entry. Without one, or
-    without a URL or date, the verdict is `none` and the rest null. Rows with the same
-    page_id, URL and date are judged alike and returned as often as they occur.
+    without a URL or date, the verdict is `none` and the rest null. A URL is judged once
+    for each day; every row is returned, as often as it occurs.
 
     Patterns that many captures meet are found with a sketch of fixed size, and their captures
     are dealt to several tasks, each with its own copy of the pattern's few entries.
     """
     probes = with_patterns(
         captures.filter("url IS NOT NULL AND fetched_on IS NOT NULL")
-        .select("page_id", "url", "fetched_on")
+        .select("url", "fetched_on")
         .distinct()
-    ).select("page_id", "url", "fetched_on", F.explode("patterns").alias("probe"))
+    ).select("url", "fetched_on", F.explode("patterns").alias("probe"))
     common = hot_keys(probes, ["probe"])[0]
     met = spread_join(
-        probes, entries, [("probe", "pattern")], "inner", common, ["page_id", "url", "fetched_on"]
+        probes, entries, [("probe", "pattern")], "inner", common, ["url", "fetched_on"]
     ).filter(
         (F.col("valid_from") <= F.col("fetched_on"))
         & (F.col("valid_to").isNull() | (F.col("fetched_on") < F.col("valid_to")))
     )
-    best = met.groupBy("page_id", "url", "fetched_on").agg(
+    best = met.groupBy("url", "fetched_on").agg(
         F.max(
             F.struct(
                 F.length("pattern").alias("size"), (F.col("verdict") == "block").alias("blocks"),
@@ -92,7 +92,7 @@ def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
     )
     return (
         captures.select("page_id", "url", "fetched_on")
-        .join(best, ["page_id", "url", "fetched_on"], "left")
+        .join(best, ["url", "fetched_on"], "left")
         .select(
             "page_id",
             F.coalesce("m.verdict", F.lit("none")).alias("verdict"),
