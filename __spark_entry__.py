@@ -3,20 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 import oracle
 from vendaflow.operators.dimensions import dates_seen, first_seen, insert_absent, merge, upsert_type1
-from vendaflow.operators.fact import build_fact, number_sales
+from vendaflow.errors import LoadError, SourceError
+from vendaflow.operators.fact import build_fact, duplicate_rows, number_sales
+from vendaflow.operators.joins import Sized
 from vendaflow.operators.quality import quality_report, rejected_by_column
 from vendaflow.operators.staging import MARGIN, PROBLEMS, stage
 from vendaflow.plans import reports, views
 from vendaflow.plans.star import Filters
-from vendaflow.plans.warehouse import Warehouse
-from vendaflow.schema import DIM_LOCALIZACAO, DIM_PRODUTO, DIM_TEMPO, HEADERS
+from vendaflow.plans.warehouse import LoadSummary, Warehouse
+from vendaflow.schema import (
+    DIM_CLIENTE, DIM_ENVIO, DIM_LOCALIZACAO, DIM_PRODUTO, DIM_TEMPO, HEADERS, TABLES,
+)
 from vendaflow.session import scratch_path
-from vendaflow.sources.files import read_csv
+from vendaflow.sources.files import find_source, read_csv
 from vendaflow.sources.workbooks import pack_workbooks
 from vendaflow.sources.tables import flat_sales
 from vendaflow.sources.xlsx import parse_workbooks
@@ -42,6 +47,7 @@ CHOSEN = Filters(
 
 _flat: dict[tuple[str, str], DataFrame] = {}
 _loaded: dict[tuple[str, str], Warehouse] = {}
+_summaries: dict[tuple[str, str], LoadSummary] = {}
 _published: dict[str, str] = {}  # session -> folder its catalog shows
 EXTRA = ("l_returnflag", "l_linestatus")
 
@@ -59,7 +65,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _loaded:
         built = Warehouse(spark, scratch_path(spark, "warehouse"))
-        built.load(flat(spark, sf_dir))
+        _summaries[key] = built.load(flat(spark, sf_dir))
         _loaded[key] = built
     return _loaded[key]
 
@@ -144,6 +150,54 @@ def csv_source(language: int, date_format: str) -> Query:
     return run
 
 
+def mixed_source(spark: SparkSession, sf: str) -> DataFrame:
+    """One folder with files in both languages, one of them with its columns turned around."""
+    path = scratch_path(spark, "csv")
+    for language, odd in ((0, 0), (1, 1)):
+        names = list(HEADERS.values())[:: -1 if odd else 1]
+        flat(spark, sf).filter(F.col("Row ID") % 2 == odd).select(
+            *[F.col(n[0]).alias(n[language]) for n in names]
+        ).write.mode("append").options(header=True, escape='"').csv(path)
+    return source_totals(read_csv(spark, path))
+
+
+def malformed_source(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines with a field too many or too few, counted by problem."""
+    names = [n[0] for n in HEADERS.values()]
+    fields = [F.col(n).cast("string") for n in names]
+    more = F.when(F.col("l_returnflag") == "R", F.lit(",1"))
+    whole = F.concat_ws(",", *[F.coalesce(f, F.lit("")) for f in fields])
+    short = F.concat_ws(",", *[F.coalesce(f, F.lit("")) for f in fields[:-1]])
+    cut = (F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "F")
+    line = F.when(cut, short).otherwise(F.concat(whole, F.coalesce(more, F.lit(""))))
+    path = scratch_path(spark, "csv")
+    # One column whose name is the header line; nothing is quoted.
+    flat(spark, sf).select(line.alias(",".join(names))).write.options(
+        header=True, sep="\u0001", quote="", escapeQuotes=False
+    ).csv(path)
+    return plain(rejected_by_column(stage(read_csv(spark, path)).filter(F.col(PROBLEMS).isNotNull())))
+
+
+def dirty_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Padded headers, no discount, null words, postal codes and dates in many forms."""
+    row = F.col("Row ID")
+    postal = F.element_at(
+        F.array(*[F.lit(t) for t in ("NA", " N/A ", "10.0.0", "1.05.0", "#N/A", " 01234 ", "None")]),
+        (row % 7 + 1).cast("int"),
+    )
+    day = F.col("Order Date")
+    dates = (
+        F.when(row % 5 == 0, day.cast("string"))
+        .when(row % 5 == 1, F.date_format(day, "M/d/yyyy"))
+        .when(row % 5 == 2, F.concat(F.lit("  "), day.cast("string"), F.lit(" 13:00:00 ")))
+        .when(row % 5 == 3, F.date_format(day, "MM-dd-yyyy"))
+        .otherwise("12:30")
+    )
+    texts = flat(spark, sf).withColumns({"Postal Code": postal, "Order Date": dates}).drop("Discount", *EXTRA)
+    padded = texts.toDF(*[f"\ufeff {c} " for c in texts.columns])
+    return plain(stage(padded).select("row_id", "postal_code", "order_date", "discount", PROBLEMS))
+
+
 def xlsx_source(spark: SparkSession, sf: str) -> DataFrame:
     return source_totals(parse_workbooks(pack_workbooks(flat(spark, sf).drop(*EXTRA))))
 
@@ -187,6 +241,46 @@ def upsert(spark: SparkSession, sf: str) -> DataFrame:
     return plain(upsert_type1(existing, first_seen(second, DIM_PRODUTO), DIM_PRODUTO))
 
 
+def upsert_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """A second file: names in capitals, no MACHINERY, buyers of urgent sales under new ids."""
+    existing = warehouse(spark, sf).star().table("dim_cliente")
+    urgent = F.col("ship_mode") == "1-URGENT"
+    second = (
+        staged(spark, sf)
+        .filter(F.col("segment") != "MACHINERY")
+        .withColumn("customer_id", F.when(urgent, F.concat(F.lit("X"), "customer_id")).otherwise(F.col("customer_id")))
+        .withColumn("customer_name", F.upper("customer_name"))
+    )
+    return plain(upsert_type1(existing, first_seen(second, DIM_CLIENTE), DIM_CLIENTE))
+
+
+def second_ship_modes(spark: SparkSession, sf: str) -> DataFrame:
+    """A second file in which two of the ship modes have other names."""
+    existing = warehouse(spark, sf).star().table("dim_envio")
+    other = F.when(F.col("ship_mode").isin("2-HIGH", "5-LOW"), F.concat(F.lit("NEW "), "ship_mode"))
+    second = staged(spark, sf).withColumn("ship_mode", F.coalesce(other, "ship_mode"))
+    return plain(merge(existing, second, DIM_ENVIO))
+
+
+def late_null_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Names only on the first row of each product: the load takes them from there."""
+    rows = flat(spark, sf)
+    first = rows.groupBy(F.col("Product ID").alias("_p")).agg(F.min("Row ID").alias("_row"))
+    named = rows.join(first, rows["Product ID"] == first["_p"]).withColumn(
+        "Product Name", F.when(F.col("Row ID") == F.col("_row"), F.col("Product Name"))
+    )
+    house = Warehouse(spark, scratch_path(spark, "warehouse"))
+    house.load(named.drop("_p", "_row", *EXTRA))
+    return plain(house.star().table("dim_produto"))
+
+
+def dates_with_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Dates of rows some of which have no order date."""
+    gaps = F.when(F.col("row_id") % 3 != 0, F.col("order_date"))
+    dated = staged(spark, sf).withColumn("order_date", gaps)
+    return plain(insert_absent(None, dates_seen(dated), DIM_TEMPO))
+
+
 def later_dates(spark: SparkSession, sf: str) -> DataFrame:
     """A second file with every date a year later."""
     existing = warehouse(spark, sf).star().table("dim_tempo")
@@ -212,12 +306,88 @@ def gap_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def load_summary(spark: SparkSession, sf: str) -> DataFrame:
-    tables = warehouse(spark, sf).tables()
-    counts = [t.df.agg(F.lit(n).alias("name"), F.count("*").alias("rows")) for n, t in tables.items()]
-    first, *rest = counts
-    for one in rest:
-        first = first.unionByName(one)
-    return plain(first)
+    """What the load reported: rows per dimension, and the sales."""
+    warehouse(spark, sf)
+    return told(spark, _summaries[spark.sparkContext.applicationId, sf], {"fato_vendas": "loaded"})
+
+
+def told(spark: SparkSession, summary: LoadSummary, counts: dict[str, str]) -> DataFrame:
+    lines = [*summary.members.items(), *[(n, getattr(summary, field)) for n, field in counts.items()]]
+    return spark.createDataFrame(lines, "name string, rows bigint")
+
+
+def lenient_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """The report of a load that sets unfit rows aside."""
+    returned = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
+    value = F.when(returned, "NaN").otherwise(F.col("Sales").cast("string"))
+    house = Warehouse(spark, scratch_path(spark, "warehouse"))
+    summary = house.load(flat(spark, sf).withColumn("Sales", value), strict=False)
+    return told(spark, summary, {n: n for n in ("extracted", "loaded", "rejected")})
+
+
+def gates(spark: SparkSession, sf: str) -> DataFrame:
+    """What each gate of a load finds: columns, row ids, members, files and readiness."""
+    rows, found = flat(spark, sf), []
+    try:
+        stage(rows.drop("Sales", "Profit"))
+    except SourceError as failure:
+        found.append(("missing columns", str(failure).rpartition(": ")[2]))
+    again = staged(spark, sf).unionByName(staged(spark, sf).filter(F.col("ship_mode") == "5-LOW"))
+    found.append(("repeated row ids", str(duplicate_rows(again).count())))
+    try:
+        number_sales(again)
+    except LoadError as failure:
+        found.append(("repeated row ids", str(failure).partition(",")[0]))
+    house = warehouse(spark, sf)
+    dims = {n: t for n, t in house.tables().items() if n != "fato_vendas"}
+    fewer = dims["dim_produto"].df.filter("categoria <> 'PROMO'")
+    dims["dim_produto"] = Sized(fewer, dims["dim_produto"].rows, dims["dim_produto"].bytes)
+    fact = build_fact(number_sales(staged(spark, sf)), dims, house.limit)
+    found.append(("unknown members", str(fact.filter("sk_produto IS NULL").count())))
+    folder = scratch_path(spark, "inbox")
+    rows.drop(*EXTRA).write.option("header", True).csv(f"{folder}/second.csv")
+    path = find_source(spark, folder, ["first.csv", "second.csv", "third.csv"])
+    found.append(("source found", path.rpartition("/")[2]))
+    new = Warehouse(spark, scratch_path(spark, "warehouse"))
+    found.append(("ready before create", str(new.ready())))
+    new.create()
+    found.append(("tables after create", str(len(new.entries()))))
+    found.append(("ready after create", str(new.ready())))
+    found.append(("ready after load", str(house.ready())))
+    return spark.createDataFrame(found, "gate string, found string")
+
+
+def positioned(rows: DataFrame) -> DataFrame:
+    """The rows of a sorted report of bounded size with their position in it."""
+    placed = rows.withColumn("_at", F.monotonically_increasing_id())
+    position = F.row_number().over(Window.orderBy("_at"))
+    return placed.select(*rows.columns, position.alias("posicao"))
+
+
+def in_order(report: Callable) -> Query:
+    return lambda spark, sf: plain(positioned(report(warehouse(spark, sf).star())))
+
+
+def options_in_order(spark: SparkSession, sf: str) -> DataFrame:
+    lists = reports.filter_options(warehouse(spark, sf).star())
+    parts = [
+        positioned(df).select(F.lit(kind).alias("tipo"), F.col(df.columns[0]).cast("string").alias("valor"), "posicao")
+        for kind, df in lists.items()
+    ]
+    return plain(reduce(DataFrame.unionByName, parts))
+
+
+def quality_spoiled(spark: SparkSession, sf: str) -> DataFrame:
+    """The report over tables that break four kinds of rule: lengths, NULLs, keys, members."""
+    tables = {n: t.df for n, t in warehouse(spark, sf).tables().items()}
+    wrong = F.col("ano_pedido") == 1996
+    tables["fato_vendas"] = tables["fato_vendas"].withColumns({
+        "order_id": F.when(wrong, F.lit("x" * 31)).otherwise(F.col("order_id")),
+        "lucro": F.when(~wrong, F.col("lucro")),
+        "sk_produto": F.when(wrong, -1).otherwise(F.col("sk_produto")).cast("bigint"),
+    })
+    tables["dim_envio"] = tables["dim_envio"].unionByName(tables["dim_envio"])
+    return plain(quality_report({n: tables[n] for n in TABLES}))
 
 
 def filter_options(spark: SparkSession, sf: str) -> DataFrame:
@@ -253,6 +423,9 @@ def queries() -> dict[str, Query]:
         "staging_clean": staging_clean,
         "source_csv_english": csv_source(0, "M/d/yyyy"),
         "source_csv_portuguese": csv_source(1, "yyyy-MM-dd"),
+        "source_csv_mixed": mixed_source,
+        "source_csv_malformed": malformed_source,
+        "staging_dirty_text": dirty_text,
         "source_xlsx": xlsx_source,
         "rejected_rows": spoiled,
         "dim_tempo": table("dim_tempo"),
@@ -262,11 +435,22 @@ def queries() -> dict[str, Query]:
         "dim_envio": table("dim_envio"),
         "dim_produto_first_wins": first_wins,
         "dim_upsert_type1": upsert,
+        "dim_upsert_cliente": upsert_customers,
+        "dim_envio_second_load": second_ship_modes,
+        "dim_produto_late_null": late_null_names,
+        "dim_tempo_null_dates": dates_with_gaps,
         "dim_insert_absent": later_dates,
         "dim_localizacao_rerun": locations_again,
         "fato_vendas": table("fato_vendas", "ano_pedido"),
         "fato_vendas_gap_ids": gap_ids,
         "load_summary": load_summary,
+        "load_summary_lenient": lenient_summary,
+        "load_gates": gates,
+        "tab_subcategorias_order": in_order(reports.subcategorias),
+        "tab_habitos_order": in_order(reports.habitos),
+        "tab_estados_order": in_order(reports.estados),
+        "filter_options_order": options_in_order,
+        "quality_report_spoiled": quality_spoiled,
         "kpi_all": on_star(reports.kpi),
         "kpi_filtered": on_star(reports.kpi, CHOSEN),
         "kpi_empty": on_star(reports.kpi, Filters(regioes=["ATLANTIS"])),

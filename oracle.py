@@ -318,7 +318,7 @@ FOREIGN = ["sk_tempo_pedido", "sk_tempo_envio", "sk_produto", "sk_cliente", "sk_
            "sk_envio"]
 
 
-def _quality() -> str:
+def _quality(violations: str = "CAST(0 AS BIGINT)", rows: str = "n") -> str:
     checks = []
     for table in UNIQUE:
         checks += [(table, f"not_null {table}.{c}") for c in NOT_NULL[table].split()]
@@ -334,12 +334,92 @@ def _quality() -> str:
         ]
     )
     return _on_star(
-        f"""SELECT c.check_name AS "check", n AS rows_checked, CAST(0 AS BIGINT) AS violations
+        f"""SELECT c.check_name AS "check", {rows} AS rows_checked, {violations} AS violations
             FROM (VALUES {values}) c(name, check_name) JOIN counts USING (name)""",
         f", counts AS ({counts})",
     )
 
 
+# What the spoiled quality report breaks: see quality_spoiled() in __spark_entry__.
+SPOILED_ROWS = "CASE WHEN c.name = 'dim_envio' THEN 2 * n ELSE n END"
+SPOILED = """
+    CASE WHEN c.check_name IN ('length fato_vendas.order_id', 'not_null fato_vendas.lucro',
+                               'foreign_key fato_vendas.sk_produto')
+         THEN (SELECT count(*) FROM sales WHERE year(order_date) = 1996)
+         WHEN c.check_name LIKE 'unique dim_envio(%' THEN n ELSE 0 END
+"""
+
+# A second file: names in capitals, no MACHINERY, buyers of urgent sales under new ids.
+SECOND_CUSTOMERS = """
+, again AS (
+    SELECT key AS customer_id, arg_min(name, row_id) AS nome_cliente,
+           arg_min(segment, row_id) AS segmento, min(row_id) AS first_row
+    FROM (SELECT CASE WHEN ship_mode = '1-URGENT' THEN 'X' || customer_id ELSE customer_id END AS key,
+                 upper(customer_name) AS name, * FROM sales WHERE segment <> 'MACHINERY')
+    GROUP BY key
+)
+SELECT sk_cliente, customer_id, coalesce(a.nome_cliente, c.nome_cliente) AS nome_cliente,
+       coalesce(a.segmento, c.segmento) AS segmento
+FROM cliente c LEFT JOIN again a USING (customer_id)
+UNION ALL
+SELECT (SELECT max(sk_cliente) FROM cliente) + row_number() OVER (ORDER BY a.first_row),
+       customer_id, a.nome_cliente, a.segmento
+FROM again a ANTI JOIN cliente c USING (customer_id)
+"""
+
+SECOND_MODES = """
+, again AS (
+    SELECT CASE WHEN ship_mode IN ('2-HIGH', '5-LOW') THEN 'NEW ' || ship_mode ELSE ship_mode END
+               AS ship_mode, min(row_id) AS first_row
+    FROM sales GROUP BY 1
+)
+SELECT * FROM envio
+UNION ALL
+SELECT (SELECT max(sk_envio) FROM envio) + row_number() OVER (ORDER BY first_row), ship_mode
+FROM again ANTI JOIN envio USING (ship_mode)
+"""
+
+DIRTY_TEXT = """
+SELECT row_id,
+       CASE row_id % 7 WHEN 2 THEN '10' WHEN 3 THEN '15' WHEN 5 THEN '01234' END AS postal_code,
+       CASE WHEN row_id % 5 <> 4 THEN order_date END AS order_date,
+       CAST(0 AS DOUBLE) AS discount,
+       CASE WHEN row_id % 5 = 4 THEN 'order_date' END AS problems
+FROM sales
+"""
+
+LENIENT = """
+, good AS (SELECT * FROM sales WHERE NOT (l_returnflag = 'R' AND l_linestatus = 'F'))
+SELECT 'extracted' AS name, count(*) AS rows FROM sales
+UNION ALL SELECT 'loaded', count(*) FROM good
+UNION ALL SELECT 'rejected', (SELECT count(*) FROM sales) - count(*) FROM good
+UNION ALL SELECT 'dim_tempo', count(DISTINCT d) FROM (
+    SELECT unnest([order_date, ship_date]) AS d FROM good)
+UNION ALL SELECT 'dim_produto', count(DISTINCT product_id) FROM good
+UNION ALL SELECT 'dim_cliente', count(DISTINCT customer_id) FROM good
+UNION ALL SELECT 'dim_envio', count(DISTINCT ship_mode) FROM good
+UNION ALL SELECT 'dim_localizacao', count(*) FROM (
+    SELECT DISTINCT country, region, state, city, postal_code FROM good)
+"""
+
+GATES = """
+SELECT 'missing columns' AS gate, 'sales, profit' AS found
+UNION ALL SELECT 'repeated row ids', CAST(count(*) AS VARCHAR) FROM sales WHERE ship_mode = '5-LOW'
+UNION ALL SELECT 'repeated row ids', 'row_id occurs more than once'
+UNION ALL SELECT 'unknown members', CAST(count(*) AS VARCHAR) FROM sales JOIN produto USING (product_id)
+    WHERE produto.categoria = 'PROMO'
+UNION ALL SELECT 'source found', 'second.csv'
+UNION ALL SELECT 'ready before create', 'False'
+UNION ALL SELECT 'tables after create', '6'
+UNION ALL SELECT 'ready after create', 'False'
+UNION ALL SELECT 'ready after load', CASE WHEN count(*) > 0 THEN 'True' ELSE 'False' END FROM sales
+"""
+
+
+def _placed(report: str, order: str, by: str = "") -> str:
+    return f"SELECT *, row_number() OVER ({by} ORDER BY {order}) AS posicao FROM ({report})"
+
+
 # What the rejects query spoils: see spoiled() in __spark_entry__.
 REJECTED = """
 , flags AS (
@@ -377,6 +457,11 @@ def oracles() -> dict[str, str]:
             f"SELECT {CANONICAL}, {ROW_MARGIN} AS margem_lucro_pct FROM sales"),
         "source_csv_english": SOURCE_TOTALS,
         "source_csv_portuguese": SOURCE_TOTALS,
+        "source_csv_mixed": SOURCE_TOTALS,
+        "source_csv_malformed": _on_sales("""
+            SELECT 'line' AS "column", count(*) AS rows FROM sales
+            WHERE l_returnflag = 'R' OR (l_returnflag = 'N' AND l_linestatus = 'F')"""),
+        "staging_dirty_text": _on_sales(DIRTY_TEXT),
         "source_xlsx": SOURCE_TOTALS,
         "rejected_rows": _on_sales(REJECTED),
         "dim_tempo": _on_star(f"SELECT sk_tempo, data, {_calendar('data')} FROM tempo"),
@@ -391,6 +476,14 @@ def oracles() -> dict[str, str]:
                    arg_min(sub_category, row_id) AS subcategoria
             FROM sales GROUP BY 1"""),
         "dim_upsert_type1": _on_star(SECOND_PRODUCTS),
+        "dim_upsert_cliente": _on_star(SECOND_CUSTOMERS),
+        "dim_envio_second_load": _on_star(SECOND_MODES),
+        "dim_produto_late_null": _on_star("SELECT * EXCLUDE (first_row) FROM produto"),
+        "dim_tempo_null_dates": _on_sales(f"""
+            SELECT row_number() OVER (ORDER BY data) AS sk_tempo, data, {_calendar("data")} FROM (
+                SELECT DISTINCT unnest([
+                    CASE WHEN row_id % 3 <> 0 THEN order_date END, ship_date]) AS data FROM sales)
+            WHERE data IS NOT NULL"""),
         "dim_insert_absent": _on_star(SECOND_DATES),
         "dim_localizacao_rerun": _on_star("SELECT * FROM localizacao"),
         "fato_vendas": _on_star(FACT),
@@ -403,6 +496,12 @@ def oracles() -> dict[str, str]:
             UNION ALL SELECT 'dim_localizacao', count(*) FROM localizacao
             UNION ALL SELECT 'dim_envio', count(*) FROM envio
             UNION ALL SELECT 'fato_vendas', count(*) FROM sales"""),
+        "load_summary_lenient": _on_sales(LENIENT),
+        "load_gates": _on_star(GATES),
+        "tab_subcategorias_order": _placed(
+            _report(SUBCATEGORY, [RECEITA, LUCRO]), "receita DESC, categoria, subcategoria"),
+        "tab_habitos_order": _placed(_habits(), "ano_mes, tipo_cliente"),
+        "tab_estados_order": _placed(_states(), "receita DESC, regiao, estado"),
         "kpi_all": _report("", KPI),
         "kpi_filtered": _report("", KPI, CHOSEN),
         "kpi_empty": _report("", KPI, "WHERE region = 'ATLANTIS'"),
@@ -445,10 +544,13 @@ def oracles() -> dict[str, str]:
             UNION ALL SELECT 'anos', CAST(ano AS VARCHAR) FROM (
                 SELECT DISTINCT year(unnest([order_date, ship_date])) AS ano FROM sales)"""),
         "quality_report": _quality(),
+        "quality_report_spoiled": _quality(SPOILED, SPOILED_ROWS),
         "sql_params": _report(
             f"{STATE}, {MONTH} AS ano_mes", [RECEITA, "count(*) AS vendas"],
             "WHERE region = 'EUROPE' AND year(order_date) = 1997"),
     }
+    queries["filter_options_order"] = _placed(
+        queries["filter_options"], "valor", "PARTITION BY tipo")
     queries.update(VIEW_ORACLES)
     queries.update({f"sql_{name}": text for name, text in VIEW_ORACLES.items()})
     return queries

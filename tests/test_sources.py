@@ -5,8 +5,9 @@ import pytest
 from data import BASE, rows, sales
 
 from vendaflow.__main__ import main
-from vendaflow.errors import SourceError
+from vendaflow.errors import LoadError, SourceError
 from vendaflow.operators.staging import stage
+from vendaflow.plans.warehouse import Warehouse
 from vendaflow.schema import CANONICAL, HEADERS
 from vendaflow.sources.files import find_source, read_csv, read_source
 from vendaflow.sources.jdbc import postgres_options
@@ -36,16 +37,30 @@ def test_five_kinds_of_file_read_the_same(spark, tmp_path):
         write_csv(tmp_path / "extra.csv", ["note", *ENGLISH], ["x", *VALUES]),
     ]
     for file in files:
-        assert read_csv(spark, file).collect() == sales(spark, {}).collect()
+        assert read_csv(spark, file).select(*CANONICAL).collect() == sales(spark, {}).collect()
     together = read_csv(spark, *files)
     assert together.count() == 5 and together.distinct().count() == 1
 
 
-def test_folder_with_two_headers_is_refused(spark, tmp_path):
+def test_folder_with_two_headers(spark, tmp_path):
     write_csv(tmp_path / "a.csv", ENGLISH, VALUES)
-    write_csv(tmp_path / "b.csv", PORTUGUESE, VALUES)
-    with pytest.raises(Exception, match="header"):
-        read_csv(spark, str(tmp_path)).collect()
+    write_csv(tmp_path / "b.csv", PORTUGUESE[::-1], VALUES[::-1])
+    (tmp_path / "c.csv").write_text("")
+    together = read_csv(spark, str(tmp_path))
+    assert together.count() == 2 and together.distinct().count() == 1
+    with pytest.raises(SourceError, match="no file"):
+        read_csv(spark, str(tmp_path / "none*.csv"))
+
+
+def test_lines_with_a_wrong_number_of_fields(spark, tmp_path):
+    extra = [*VALUES[:17], "1", *VALUES[17:]]
+    file = write_csv(tmp_path / "m.csv", ["note", *ENGLISH], ["x", *VALUES], ["x", *extra], ["x", *VALUES[:-1]])
+    staged = stage(read_csv(spark, file))
+    assert sorted(str(r.problems) for r in staged.select("problems").collect()) == ["None", "line", "line"]
+    house = Warehouse(spark, str(tmp_path / "house"))
+    with pytest.raises(LoadError, match="2 unfit rows.*line"):
+        house.load(read_csv(spark, file))
+    assert house.load(read_csv(spark, file), strict=False).loaded == 1
 
 
 def test_quotes_commas_and_line_breaks(spark, tmp_path):

@@ -35,7 +35,14 @@ def report(spark: SparkSession, args: argparse.Namespace) -> None:
     if not warehouse.ready():
         raise SalesError("the warehouse is empty: load it first")
     filters = Filters(args.segmentos, args.regioes, args.categorias, args.anos)
-    REPORTS[args.name](warehouse.star(), filters).show(args.rows, truncate=False)
+    rows = REPORTS[args.name](warehouse.star(), filters)
+    if args.out:
+        # Written by the executors, whole and in order of the report.
+        rows.write.mode("overwrite").option("header", True).csv(args.out)
+        return
+    print(",".join(rows.columns))
+    for row in rows.toLocalIterator():
+        print(",".join("" if v is None else str(v) for v in row))
 
 
 def parser() -> argparse.ArgumentParser:
@@ -51,7 +58,7 @@ def parser() -> argparse.ArgumentParser:
     two.set_defaults(run=report)
     two.add_argument("--root", required=True)
     two.add_argument("name", choices=sorted(REPORTS))
-    two.add_argument("--rows", type=int, default=100)
+    two.add_argument("--out", help="folder for the whole report as CSV; else it is printed whole")
     for name in ("segmentos", "regioes", "categorias"):
         two.add_argument(f"--{name}", nargs="*", default=[])
     two.add_argument("--anos", nargs="*", type=int, default=[])

@@ -15,15 +15,23 @@ def row_margin(profit: Column, sales: Column) -> Column:
     return F.when(sales != 0, F.round(profit / sales * 100, 4)).otherwise(F.lit(0.0))
 
 
-def margin_pct(profit_sum: Column, sales_sum: Column) -> Column:
+def margin_sql(profit_sum: str, sales_sum: str) -> str:
     """Margin of summed profit over summed sales, 2 digits; 0 unless sales are positive."""
-    profit, sales = profit_sum.cast(SUM), sales_sum.cast(SUM)
-    return F.when(sales > 0, F.round(profit / sales * 100, 2)).otherwise(F.lit(0))
+    profit, sales = f"cast({profit_sum} AS {SUM})", f"cast({sales_sum} AS {SUM})"
+    return f"CASE WHEN {sales} > 0 THEN round({profit} / {sales} * 100, 2) ELSE 0 END"
 
 
-def mean_line(sales_sum: Column, lines: Column) -> Column:
+def margin_pct(profit_sum: str, sales_sum: str) -> Column:
+    return F.expr(margin_sql(profit_sum, sales_sum))
+
+
+def mean_line_sql(sales_sum: str, lines: str) -> str:
     """Mean sale per line, 2 digits. Dividing exact sums keeps 20 digits before rounding."""
-    return F.round(sales_sum.cast(SUM) / lines, 2)
+    return f"round(cast({sales_sum} AS {SUM}) / {lines}, 2)"
+
+
+def mean_line(sales_sum: str, lines: str) -> Column:
+    return F.expr(mean_line_sql(sales_sum, lines))
 
 
 def weighted_mean(value: Column, weight: Column) -> Column:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from vendaflow.functions.calendar import calendar
 from vendaflow.operators.joins import same_key
 from vendaflow.operators.numbering import number_rows
+from vendaflow.session import scratch_path
 from vendaflow.schema import (
     DIM_CLIENTE, DIM_ENVIO, DIM_LOCALIZACAO, DIM_PRODUTO, DIM_TEMPO, Table,
 )
@@ -99,21 +100,30 @@ def upsert_type1(existing: DataFrame | None, incoming: DataFrame, table: Table)
     """
     if existing is None:
         return _numbered(incoming, table, 0)
+    joined = _joined(existing, incoming, table)
+    new = joined.filter(F.col(table.key).isNull()).drop(table.key)
+    known = joined.filter(F.col(table.key).isNotNull()).select(*table.columns)
+    return known.unionByName(_numbered(new, table, _last_key(known, table)))
+
+
+def _joined(existing: DataFrame, incoming: DataFrame, table: Table) -> DataFrame:
+    """Known and incoming members side by side, saved: without a key, they are new ones."""
     fresh = incoming.select(
         *[F.col(c).alias(f"_new_{c}") for c in (*table.natural, *table.attributes)],
+        F.col(FIRST),
         F.lit(True).alias("_came"),
     )
     match = same_key(existing, fresh, [(c, f"_new_{c}") for c in table.natural])
-    kept = existing.join(fresh, match, "left").select(
-        table.key,
-        *table.natural,
-        *[
-            F.when(F.col("_came"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
-            for c in table.attributes
-        ],
+
+    def merged(c: str) -> Column:
+        return F.when(F.col("_came"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
+
+    both = existing.join(fresh, match, "full").select(
+        table.key, *[merged(c) for c in (*table.natural, *table.attributes)], FIRST
     )
-    new = _absent(incoming, existing, table)
-    return kept.unionByName(_numbered(new, table, _last_key(existing, table)))
+    path = scratch_path(existing.sparkSession, f"merge-{table.name}")
+    both.write.parquet(path)
+    return existing.sparkSession.read.schema(both.schema).parquet(path)
 
 
 def merge(existing: DataFrame | None, staged: DataFrame, table: Table) -> DataFrame:

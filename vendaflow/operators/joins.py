@@ -6,14 +6,15 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 BROADCAST_BYTES = 128 * 1024 * 1024
 
-# A sketch of this many keys finds every key above 0.14 % of the rows (1 / 0.75 / 1024).
-# Keys above HOT_SHARE are spread; there can be at most 1 / HOT_SHARE of them.
-SKETCH_KEYS = 1024
-HOT_SHARE = 0.004
+# A key with more rows than this many mean partitions is spread.
+HOT_PARTITIONS = 2
+# The sketch keeps this many times the keys that can be hot, so that it misses none of them.
+SKETCH_FACTOR = 4
+SKETCH_LIMIT = 1_000_000  # the most that approx_top_k tracks
 
 
 @dataclass(frozen=True)
@@ -64,21 +65,33 @@ def same_key(
 def hot_keys(rows: DataFrame, *keys: Sequence[str]) -> list[dict[int, float]]:
     """For each key, the hash of its frequent values and their share of the rows.
 
-    One scan of the key columns; the sketches have a fixed size and merge in map tasks.
+    One scan of the key columns; the sketches merge in map tasks. What is frequent, and the
+    size of the sketches, follow from the number of shuffle partitions.
     A hash collision or a wrong estimate moves rows to other tasks, never to other results.
     """
-    kept = math.ceil(1 / HOT_SHARE)
+    share = hot_share(shuffle_partitions(rows.sparkSession))
+    kept = math.ceil(1 / share)
+    tracked = min(SKETCH_LIMIT, max(1024, SKETCH_FACTOR * kept))
     tops = [
-        F.call_function("approx_top_k", F.xxhash64(*k), F.lit(kept), F.lit(SKETCH_KEYS)).alias(f"k{i}")
+        F.call_function("approx_top_k", F.xxhash64(*k), F.lit(kept), F.lit(tracked)).alias(f"k{i}")
         for i, k in enumerate(keys)
     ]
     total, *found = rows.agg(F.count("*"), *tops).first()
     return [
-        {top["item"]: top["count"] / total for top in items if top["count"] > HOT_SHARE * total}
+        {top["item"]: top["count"] / total for top in items if top["count"] > share * total}
         for items in found
     ]
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def hot_share(partitions: int) -> float:
+    """Share of the rows above which a key is hot: some mean partitions, at most 1 % of all."""
+    return min(0.01, HOT_PARTITIONS / partitions)
+
+
 def spread_join(
     rows: DataFrame,
     dim: DataFrame,
@@ -97,7 +110,7 @@ def spread_join(
     if not hot:
         return rows.join(dim, same_key(rows, dim, pairs, null_safe), how)
     spark = rows.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = shuffle_partitions(spark)
     cuts = [(key, max(2, math.ceil(4 * share * parts))) for key, share in hot.items()]
     cut = F.broadcast(spark.createDataFrame(cuts, "_hash bigint, _cuts int"))
 

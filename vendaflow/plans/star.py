@@ -78,11 +78,11 @@ def distinct(column: str, name: str) -> Measure:
 
 
 def ticket(name: str) -> Measure:
-    return Measure(name, lambda: mean_line(F.sum("vendas"), F.sum("linhas")))
+    return Measure(name, lambda: mean_line("sum(vendas)", "sum(linhas)"))
 
 
 def margin(name: str) -> Measure:
-    return Measure(name, lambda: margin_pct(F.sum("lucro"), F.sum("vendas")))
+    return Measure(name, lambda: margin_pct("sum(lucro)", "sum(vendas)"))
 
 
 def _sum(column: str) -> Column:

@@ -9,17 +9,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 
 from vendaflow.errors import LoadError
-from vendaflow.operators.dimensions import merge
+from vendaflow.operators.dimensions import first_seen, merge
 from vendaflow.operators.fact import FOREIGN_KEYS, build_fact, number_sales
 from vendaflow.operators.joins import BROADCAST_BYTES, Sized, hot_keys, row_bytes
-from vendaflow.operators.staging import PROBLEMS, stage
+from vendaflow.operators.staging import PROBLEMS, stage, unfit
 from vendaflow.plans.star import Star
-from vendaflow.schema import DIMENSIONS, FATO_VENDAS, ROLES, TABLES, Table
-from vendaflow.session import path_exists, scratch_path
+from vendaflow.schema import DIM_CLIENTE, DIM_PRODUTO, DIMENSIONS, FATO_VENDAS, ROLES, TABLES, Table
+from vendaflow.session import create_file, delete_file, list_folders, path_exists, scratch_path
 
-# From this many rows on, the fact is shuffled once more so that each file holds one year.
-# Below it, tasks times years is a small number of files and the shuffle is not worth it.
-COMPACT_ROWS = 50_000_000
 MANIFEST = (
     "load bigint, id string, name string, path string, rows bigint, bytes bigint, "
     "hot map<bigint, double>"
@@ -42,35 +39,33 @@ class Warehouse:
     and a failed one changes nothing.
     """
 
-    def __init__(
-        self,
-        spark: SparkSession,
-        root: str,
-        broadcast_bytes: int = BROADCAST_BYTES,
-        compact_rows: int = COMPACT_ROWS,
-    ):
+    def __init__(self, spark: SparkSession, root: str, broadcast_bytes: int = BROADCAST_BYTES):
         self.spark = spark
         self.root = root.rstrip("/")
         self.limit = broadcast_bytes
-        self.compact_rows = compact_rows
         self.staged: DataFrame | None = None  # the good rows of the last load by this object
 
     # -- reading -------------------------------------------------------------------
 
     def entries(self) -> list[Row]:
-        """Name, path and size of each table of the newest load; empty before the first."""
+        """Name, path and size of each table of the newest load, dimensions first, the fact
+        last; empty before the first load."""
         log = f"{self.root}/loads"
         if not path_exists(self.spark, log):
             return []
         manifest = self.spark.read.schema(MANIFEST).parquet(log)
-        newest_first = manifest.orderBy(F.desc("load"), F.desc("id"))
-        return newest_first.limit(len(TABLES)).collect()
+        newest = manifest.groupBy("load").agg(F.collect_list(F.struct("*")).alias("tables"))
+        found = newest.orderBy(F.desc("load")).limit(1).select(F.inline("tables")).collect()
+        return sorted(found, key=lambda e: list(TABLES).index(e["name"]))
 
     def tables(self) -> dict[str, Sized]:
         """The tables of the newest load; empty before the first."""
+        return self._sized(self.entries())
+
+    def _sized(self, entries: list[Row]) -> dict[str, Sized]:
         return {
             e["name"]: Sized(self._read(e["name"], e.path), e.rows, e.bytes, e.hot or {})
-            for e in self.entries()
+            for e in entries
         }
 
     def star(self) -> Star:
@@ -97,7 +92,7 @@ class Warehouse:
             for name, table in TABLES.items():
                 empty = self.spark.createDataFrame([], table.struct)
                 written[name] = self._write(empty, name, load_id)
-            self._publish(written, load_id)
+            self._publish(written, load_id, 1)
 
     def load(self, source: DataFrame, strict: bool = True) -> LoadSummary:
         """Merge the dimensions, replace the fact, publish both together.
@@ -106,15 +101,21 @@ class Warehouse:
         `rejected` and the rest is loaded.
         """
         load_id = uuid.uuid4().hex
-        staged, extracted, rejected = self._stage(source)
+        staged, extracted, rejected, undescribed = self._stage(source)
+        good, bad = staged.filter(~unfit(F.col(PROBLEMS))), staged.filter(unfit(F.col(PROBLEMS)))
+        if undescribed:
+            good, lost = self._without_unfit_members(good)
+            rejected += lost.count()
+            bad = bad.unionByName(lost)
         if rejected:
             if strict:
-                raise LoadError(f"{rejected} unfit rows, for example: {_examples(staged)}")
-            unfit = staged.filter(F.col(PROBLEMS).isNotNull())
-            unfit.write.parquet(f"{self.root}/rejected/{load_id}")
-        good = self.staged = staged.filter(F.col(PROBLEMS).isNull()).drop(PROBLEMS)
+                raise LoadError(f"{rejected} unfit rows, for example: {_examples(bad)}")
+            bad.write.parquet(f"{self.root}/rejected/{load_id}")
+        good = self.staged = good.drop(PROBLEMS)
 
-        before = self.tables()
+        published = self.entries()
+        number = max((e.load for e in published), default=0) + 1
+        before = self._sized(published)
 
         def write_dimension(table: Table) -> tuple[str, int, int]:
             old = before[table.name].df if table.name in before else None
@@ -130,25 +131,48 @@ class Warehouse:
 
         dims = {n: Sized(self._read(n, p), rows, size) for n, (p, rows, size) in written.items()}
         fact = build_fact(numbered, dims, self.limit)
-        if extracted >= self.compact_rows:
-            fact = fact.hint("rebalance", "ano_pedido")  # AQE splits a hot year
+        # One file per year where it is small; AQE splits a large year and merges small ones.
+        fact = fact.hint("rebalance", "ano_pedido")
         written["fato_vendas"] = self._write_fact(fact, load_id)
-        self._publish(written, load_id, self._hot(dims, written["fato_vendas"][0]))
+        self._publish(written, load_id, number, self._hot(dims, written["fato_vendas"][0]))
         return LoadSummary(
             extracted, written["fato_vendas"][1], rejected,
             {n: rows for n, (_, rows, _) in written.items() if n != "fato_vendas"},
         )
 
-    def _stage(self, source: DataFrame) -> tuple[DataFrame, int, int]:
-        """Parse once into the shared folder; six later steps read only what they need."""
+    def _without_unfit_members(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The rows whose product and customer can be described, and the others.
+
+        A member is described by its first row, so a missing or too long name matters there
+        and nowhere else.
+        """
+        lost = None
+        for table, key in ((DIM_PRODUTO, "product_id"), (DIM_CLIENTE, "customer_id")):
+            wrong = F.lit(False)
+            for c in table.attributes:
+                wrong = wrong | F.col(c).isNull() | (F.length(c) > table.limit(c))
+            keys = first_seen(rows, table).filter(wrong).select(F.col(key).alias(f"_{key}"))
+            match = rows[key] == keys[f"_{key}"]
+            hit = rows.join(keys, match, "left_semi")
+            rows = rows.join(keys, match, "left_anti")
+            lost = hit if lost is None else lost.unionByName(hit)
+        return rows, lost
+
+    def _stage(self, source: DataFrame) -> tuple[DataFrame, int, int, int]:
+        """Parse once into the shared folder; six later steps read only what they need.
+
+        Returns the rows, how many there are, how many are unfit, and how many others lack a
+        description or have one that is too long.
+        """
         staged = stage(source)
         seen = Observation()
         path = scratch_path(self.spark, "staged")
         staged.observe(
-            seen, F.count("*").alias("rows"), F.count(PROBLEMS).alias("unfit")
+            seen, F.count("*").alias("rows"), F.count(PROBLEMS).alias("odd"),
+            F.count_if(unfit(F.col(PROBLEMS))).alias("unfit"),
         ).write.parquet(path)
-        rows, unfit = seen.get["rows"], seen.get["unfit"]
-        return self.spark.read.schema(staged.schema).parquet(path), rows, unfit
+        rows, odd, bad = seen.get["rows"], seen.get["odd"], seen.get["unfit"]
+        return self.spark.read.schema(staged.schema).parquet(path), rows, bad, odd - bad
 
     def _write(self, df: DataFrame, name: str, load_id: str) -> tuple[str, int, int]:
         path = f"{self.root}/{name}/{load_id}"
@@ -191,18 +215,55 @@ class Warehouse:
         self,
         written: dict[str, tuple[str, int, int]],
         load_id: str,
+        number: int,
         hot: dict[str, dict[int, float]] | None = None,
     ) -> None:
-        """Append one file that names all tables of the load."""
-        last = max((e.load for e in self.entries()), default=0)
+        """Append one file that names all tables of the load.
+
+        `number` follows the load that this one was built on. It is claimed by a file that
+        can be created only once, so that of two loads built on the same tables one fails
+        instead of hiding the other's members. A claim whose load died before it published
+        is released with `release`.
+        """
+        if not create_file(self.spark, f"{self.root}/claims/{number}"):
+            raise LoadError(
+                f"load {number} is being or has been published by someone else; load again"
+            )
         lines = [
-            (last + 1, load_id, n, p, rows, size, (hot or {}).get(n, {}))
+            (number, load_id, n, p, rows, size, (hot or {}).get(n, {}))
             for n, (p, rows, size) in written.items()
         ]
         entries = self.spark.createDataFrame(lines, MANIFEST)
         entries.coalesce(1).write.mode("append").parquet(f"{self.root}/loads")
 
 
-def _examples(staged: DataFrame) -> list[tuple]:
-    unfit = staged.filter(F.col(PROBLEMS).isNotNull()).select("row_id", PROBLEMS)
-    return [(r.row_id, r[PROBLEMS]) for r in unfit.limit(5).collect()]
+    def release(self) -> None:
+        """Give up claims of loads that were never published, after a crash in between."""
+        number = max((e.load for e in self.entries()), default=0) + 1
+        delete_file(self.spark, f"{self.root}/claims/{number}")
+
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Remove the files of all but the newest `keep` loads, and of loads never published.
+
+        Not while a load is running, nor while someone reads a load that goes. Returns the
+        folders that were removed.
+        """
+        log = f"{self.root}/loads"
+        if keep < 1 or not path_exists(self.spark, log):
+            return []
+        manifest = self.spark.read.schema(MANIFEST).parquet(log)
+        numbers = [r.load for r in manifest.select("load").distinct().orderBy(F.desc("load")).limit(keep).collect()]
+        kept = {
+            r.path for r in manifest.filter(F.col("load").isin(numbers)).select("path").collect()
+        }
+        gone = []
+        for name in TABLES:
+            for path in list_folders(self.spark, f"{self.root}/{name}"):
+                if path.rsplit("/", 1)[-1] not in {k.rsplit("/", 1)[-1] for k in kept}:
+                    delete_file(self.spark, path)
+                    gone.append(path)
+        return gone
+
+
+def _examples(bad: DataFrame) -> list[tuple]:
+    return [(r.row_id, r[PROBLEMS]) for r in bad.select("row_id", PROBLEMS).limit(5).collect()]

@@ -42,25 +42,6 @@ NULL_WORDS = [
     "n/a", "nan", "null",
 ]
 
-# Longest text each source column may carry.
-TEXT_LIMITS = {
-    "order_id": 30,
-    "ship_mode": 30,
-    "customer_id": 50,
-    "customer_name": 100,
-    "segment": 30,
-    "country": 50,
-    "city": 100,
-    "state": 50,
-    "postal_code": 20,
-    "region": 20,
-    "product_id": 50,
-    "category": 50,
-    "sub_category": 50,
-    "product_name": 255,
-}
-
-
 @dataclass(frozen=True)
 class Table:
     """A warehouse table: its columns as DDL types and its keys."""

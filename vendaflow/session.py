@@ -20,11 +20,11 @@ def shared_folder(spark: SparkSession) -> str:
     if root:
         return root.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    return _local_roots.setdefault(
-        context.applicationId, tempfile.mkdtemp(prefix="vendaflow-")
-    )
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="vendaflow-")
+    return _local_roots[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -51,8 +51,61 @@ def local_session(app: str, cores: str = "8", **conf: str) -> SparkSession:
     return spark
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def create_file(spark: SparkSession, path: str) -> bool:
+    """Create an empty file unless it exists; False if it does. One of two callers wins."""
+    target, files = _file_system(spark, path)
+    files.mkdirs(target.getParent())
+    return files.createNewFile(target)
+
+
+def delete_file(spark: SparkSession, path: str) -> None:
+    """Remove a file, or a folder with all that is in it; nothing happens if it is not there."""
+    target, files = _file_system(spark, path)
+    files.delete(target, True)
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Full paths of the folders in a folder; none if it does not exist."""
+    target, files = _file_system(spark, path)
+    if not files.exists(target):
+        return []
+    return sorted(s.getPath().toString() for s in files.listStatus(target) if s.isDirectory())
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Full paths of the files that a file, folder or glob names, without hidden ones."""
+    target, files = _file_system(spark, path)
+    found = []
+    for status in files.globStatus(target) or []:
+        inside = files.listStatus(status.getPath()) if status.isDirectory() else [status]
+        found += [
+            s.getPath().toString()
+            for s in inside
+            if s.isFile() and s.getPath().getName()[0] not in "._"
+        ]
+    return sorted(found)
+
+
+def first_line(spark: SparkSession, path: str, encoding: str) -> str | None:
+    """The first line of a text file, compressed or not; None if it is empty."""
+    target, files = _file_system(spark, path)
+    java = spark._jvm.java.io
+    codecs = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(files.getConf())
+    codec, stream = codecs.getCodec(target), files.open(target)
+    try:
+        plain = codec.createInputStream(stream) if codec else stream
+        return java.BufferedReader(java.InputStreamReader(plain, encoding)).readLine()
+    finally:
+        stream.close()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path or glob names anything, on any file system Spark knows."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
+    target, files = _file_system(spark, path)
+    found = files.globStatus(target)
     return found is not None and len(found) > 0

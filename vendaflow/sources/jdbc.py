@@ -20,16 +20,14 @@ def read_jdbc(
     spark: SparkSession,
     options: dict[str, str],
     table: str,
-    split: tuple[str, int, int, int] | None = None,
+    split: tuple[str, int, int, int],
 ) -> DataFrame:
-    """A database table. `split` = (column, low, high, parts) reads it in parallel."""
+    """A database table, read in parallel: `split` = (column, low, high, parts)."""
+    column, low, high, parts = split
     reader = spark.read.format("jdbc").options(**options).option("dbtable", table)
-    if split:
-        column, low, high, parts = split
-        reader = reader.options(
-            partitionColumn=column, lowerBound=low, upperBound=high, numPartitions=parts
-        )
-    return reader.load()
+    return reader.options(
+        partitionColumn=column, lowerBound=low, upperBound=high, numPartitions=parts
+    ).load()
 
 
 def write_jdbc(df: DataFrame, options: dict[str, str], table: str, mode: str = "append") -> None:
