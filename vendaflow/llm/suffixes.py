@@ -18,7 +18,7 @@ from vendaflow.llm.simhash import whole_groups
 from vendaflow.llm.substrings import SPAN, span_batch
 
 GRAM_BYTES = 40
-SHARD_KINDS = 1000  # suffixes of an anchor that one task sorts; see `crowded_spans`
+SHARD_KINDS = 50_000  # suffixes of an anchor that one task sorts, some 20 MB; see `crowded_spans`
 TASK_ROWS = 16384
 SUFFIX = (
     "gram bigint, doc bigint, tag int, place int, lo int, crowded boolean, times bigint,"
