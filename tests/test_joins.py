@@ -62,3 +62,14 @@ def test_measure_reads_only_what_may_fit(spark, rows):
     exact = rows.agg(F.sum(row_bytes(rows.schema))).first()[0]
     assert measure(rows, 60000, 1 << 30).bytes == exact
     assert not measure(rows, 10**12, 1 << 30).fits(1 << 30)
+
+
+def test_what_is_hot_follows_from_the_partitions(spark, conf):
+    """A key of 0.3 % of the rows is 6 mean partitions of 2,000, and less than one of 200."""
+    rows = spark.range(0, 100_000, 1, 4).select(
+        F.when(F.col("id") % 1000 < 3, F.lit(-1)).otherwise(F.col("id")).alias("k")
+    )
+    conf(spark__sql__shuffle__partitions="2000")
+    assert [round(s, 4) for s in hot_keys(rows, ["k"])[0].values()] == [0.003]
+    conf(spark__sql__shuffle__partitions="200")
+    assert hot_keys(rows, ["k"]) == [{}]

@@ -155,5 +155,20 @@ def test_command_line(spark, tmp_path, capsys):
     assert "loaded: 1" in capsys.readouterr().out
     assert main([*report, "--anos", "2017"]) == 0
     assert "$200.00" in capsys.readouterr().out
+    assert main(["report", "--root", root, "produtos", "--out", str(tmp_path / "out")]) == 0
+    assert spark.read.csv(str(tmp_path / "out"), header=True).first().nome_produto == "Saw"
     assert main(["load", "--root", root, "--folder", str(tmp_path), "--names", "no.csv"]) == 1
     assert "none of no.csv" in capsys.readouterr().err
+
+
+def test_reports_are_written_and_printed_whole(spark, tmp_path, capsys):
+    lines = [[str(i) if c == "row_id" else f"N{i}" if c == "product_name" else f"P{i}" if c == "product_id"
+              else BASE[c] for c in CANONICAL] for i in range(1, 1202)]
+    write_csv(tmp_path / "sales.csv", ENGLISH, *lines)
+    root, out = str(tmp_path / "house"), str(tmp_path / "out")
+    assert main(["load", "--root", root, "--folder", str(tmp_path), "--names", "sales.csv"]) == 0
+    assert main(["report", "--root", root, "produtos", "--out", out]) == 0
+    assert spark.read.csv(out, header=True).count() == 1201
+    capsys.readouterr()
+    assert main(["report", "--root", root, "produtos"]) == 0
+    assert len(capsys.readouterr().out.splitlines()) == 1202

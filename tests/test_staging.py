@@ -105,3 +105,11 @@ def test_typed_input_is_cast(spark):
 def test_texts_are_kept_as_they_are(spark):
     assert one(spark, product_name=" Saw ").product_name == " Saw "
     assert one(spark).segment == BASE["segment"]
+
+
+def test_largest_generated_method_is_compiled(spark, conf):
+    """HotSpot leaves methods of 8,000 bytes and more to its interpreter."""
+    conf(spark__sql__adaptive__enabled="false")
+    text = stage(sales(spark, {}).repartition(2))._jdf.queryExecution().debug().codegenToSeq().mkString()
+    sizes = [int(part.split(",")[0]) for part in text.split("ByteCodeStats(")[1:]]
+    assert sizes and max(sizes) < 8000, sizes

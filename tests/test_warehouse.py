@@ -142,3 +142,100 @@ def test_catalog(spark, empty):
     views.publish(empty, "dw_test")
     assert spark.table("dw_test.fato_vendas").count() == 1
     assert len(spark.catalog.listTables("dw_test")) == 12
+
+
+def test_overlapping_loads(spark, empty, monkeypatch):
+    """The second of two loads on the same tables fails, and no member is lost."""
+    empty.load(sales(spark, {}, {"product_id": "P2"}))
+    second = Warehouse(spark, empty.root)
+    publish = Warehouse._publish
+
+    def late(self, *args):
+        monkeypatch.setattr(Warehouse, "_publish", publish)
+        second.load(sales(spark, {"product_id": "PB"}))
+        publish(self, *args)
+
+    monkeypatch.setattr(Warehouse, "_publish", late)
+    with pytest.raises(LoadError, match="load again"):
+        empty.load(sales(spark, {"product_id": "PA"}))
+    found = rows(empty.star().table("dim_produto"), "sk_produto", "product_id")
+    assert found == {(1, "P1"), (2, "P2"), (3, "PB")}
+    empty.load(sales(spark, {"product_id": "PA"}))
+    found = rows(empty.star().table("dim_produto"), "sk_produto", "product_id")
+    assert found == {(1, "P1"), (2, "P2"), (3, "PB"), (4, "PA")}
+
+
+def test_a_claim_left_behind_is_released(spark, empty, monkeypatch):
+    empty.load(sales(spark, {}))
+    with monkeypatch.context() as broken:
+        broken.setattr(spark, "createDataFrame", None)
+        with pytest.raises(TypeError):
+            empty._publish({}, "x", 2)
+    source = sales(spark, {}, {})
+    with pytest.raises(LoadError, match="load again"):
+        empty.load(source)
+    empty.release()
+    assert empty.load(source).loaded == 2
+
+
+def test_vacuum_keeps_the_newest(spark, empty):
+    for n in (1, 2, 3):
+        empty.load(sales(spark, *[{}] * n))
+    assert len(empty.vacuum(keep=2)) == 6
+    assert empty.vacuum(keep=2) == [] and empty.star().table("fato_vendas").count() == 3
+    assert len(empty.vacuum(keep=1)) == 6 and empty.ready()
+
+
+def test_first_row_describes_a_member(spark, empty):
+    source = sales(spark, {}, {"product_name": None}, {"customer_name": "x" * 101}, {"row_id": "9", "segment": None})
+    assert empty.load(source).loaded == 4
+    other = sales(spark, {}, {"product_id": "P2", "product_name": None}, {"product_id": "P2"})
+    with pytest.raises(LoadError, match="2 unfit rows.*product_name"):
+        empty.load(other)
+    summary = empty.load(other, strict=False)
+    assert (summary.loaded, summary.rejected) == (1, 2)
+
+
+def test_tables_are_switched_before_the_fact(spark, empty, monkeypatch):
+    empty.load(sales(spark, {}))
+    ran, run = [], spark.sql
+    monkeypatch.setattr(spark, "sql", lambda text, **more: ran.append(text) or run(text, **more))
+    views.publish(empty, "dw_order")
+    names = [t.split("`dw_order`.")[1].split(" ")[0] for t in ran if "parquet.`" in t]
+    assert names == ["dim_tempo", "dim_produto", "dim_cliente", "dim_localizacao", "dim_envio", "fato_vendas"]
+
+
+def test_paths_with_quotes(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "it's `here`"))
+    house.load(sales(spark, {}))
+    views.publish(house, "dw_quotes")
+    assert spark.table("dw_quotes.vw_vendas_mensais").count() == 1
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize(
+    "view", ["vw_vendas_detalhadas", "vw_vendas_mensais", "vw_habitos_compra_segmento"]
+)
+def test_a_year_leaves_the_others_unread(spark, house, view):
+    views.publish(house, "dw_plans")
+    text = plan(spark.sql(f"SELECT * FROM dw_plans.{view} WHERE ano = 1997"))
+    assert any("ano_pedido" in part.split("]")[0] for part in text.split("PartitionFilters: [")[1:])
+
+
+def test_sums_come_before_joins(spark, conf, house):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    views.publish(house, "dw_plans")
+    for view in ("vw_rentabilidade_produto", "vw_receita_lucro_subcategoria", "vw_vendas_lucro_estado"):
+        text = plan(spark.sql(f"SELECT * FROM dw_plans.{view}"))
+        assert "HashAggregate" in text.split("SortMergeJoin", 1)[1]
+
+
+def test_first_seen_is_computed_once(spark, house):
+    from vendaflow.operators.dimensions import first_seen, upsert_type1
+    from vendaflow.schema import DIM_PRODUTO
+
+    merged = upsert_type1(house.star().table("dim_produto"), first_seen(house.staged, DIM_PRODUTO), DIM_PRODUTO)
+    assert "min_by" not in plan(merged)
