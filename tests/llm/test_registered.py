@@ -32,7 +32,7 @@ def found(spark, name):
 @pytest.mark.parametrize("name", ORACLE_SQL)
 def test_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "benchmark"):
+    for table in ("documents", "pages", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     assert difference(QUERIES[name](spark, SF), con, ORACLE_SQL[name]) is None
 

@@ -18,6 +18,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from vendaflow.llm.common import column, saved, text_or_empty
+from vendaflow.operators.joins import hot_keys, spread_join
 
 TOKENS = 1 << 19  # tokens looked at together
 _PLACE = np.uint64((1 << 24) - 1)
@@ -200,6 +201,19 @@ def classes(found: DataFrame, scheme: Scheme) -> DataFrame:
     )
 
 
+def by_class(found: DataFrame, kinds: DataFrame) -> DataFrame:
+    """`found` with the columns of its class, without pieces of other classes.
+
+    A class may hold a large part of all pieces; such ones are found with a sketch, and their
+    pieces dealt to many tasks.
+    """
+    named = kinds.withColumnsRenamed({c: f"class_{c}" for c in CLASS})
+    (common,) = hot_keys(found, CLASS)
+    pairs = [(c, f"class_{c}") for c in CLASS]
+    joined = spread_join(found, named, pairs, "inner", common, ["doc", "tag", "lo"])
+    return joined.drop(*[c for _, c in pairs])
+
+
 def unsettled(kinds: DataFrame, scheme: Scheme, most: int) -> tuple[DataFrame, DataFrame]:
     """Classes whose anchor has other classes, too: those of anchors with at most `most`
     classes, and the rest."""

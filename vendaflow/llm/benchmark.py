@@ -17,7 +17,7 @@ from vendaflow.llm.common import ceil_div, column, text_or_empty
 
 WORDS = re.compile(r"[^\W_]+")
 SHINGLE_WORDS = 5
-PART_BYTES = 32 * 1024 * 1024  # item text that one broadcast index holds
+PART_BYTES = 4 * 1024 * 1024  # item text that one broadcast index holds, some 100 MB as an index
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 

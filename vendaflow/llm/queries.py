@@ -106,5 +106,8 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op2_url_filters": urls.JUDGE_SQL,
+    "op5_warc": warc.RECORDS_SQL,
     "op7_decontamination": benchmark.CONTAINED_SQL,
+    "op9_embedding_dedup": vectors.NEAR_SQL,
+    "op10_substring_dedup": substrings.REMOVED_SQL,
 }

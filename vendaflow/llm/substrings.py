@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from vendaflow.llm.anchors import (
-    CLASS, MISSING_ID, SPANS_TYPE, Scheme, classes, merged, occurrences, row_batches, unsettled,
+    CLASS, MISSING_ID, SPANS_TYPE, Scheme, by_class, classes, merged, occurrences, row_batches, unsettled,
     window_spans, with_texts,
 )
 from vendaflow.llm.common import column, saved
@@ -199,7 +199,7 @@ def repeated_spans(docs: DataFrame, window: int = 20, shard_kinds: int = SHARD_K
         *CLASS, F.col("doc").alias("first_doc"), F.col("place").alias("first_place")
     )
     again = (
-        found.join(firsts, CLASS)
+        by_class(found, firsts)
         .filter((F.col("doc") != F.col("first_doc")) | (F.col("lo") + F.col("r") != F.col("first_place")))
         .select("doc", "tag", F.col("lo").alias("a"), (F.col("lo") + F.col("n")).alias("b"))
     )
@@ -284,3 +284,25 @@ def without_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
         return row_batches(cleaned(texts), schema)
 
     return with_texts(docs, repeated_spans(docs, window), run, docs.schema, tuple(kept))
+
+
+REMOVED_SQL = r"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, array_to_string(w[i : i + 19], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM words)
+), firsts AS (
+    SELECT s, min({'d': doc_id, 'i': i}) AS m FROM windows GROUP BY s HAVING count(*) > 1
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i
+    FROM windows JOIN firsts USING (s) WHERE m <> {'d': doc_id, 'i': i}
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+    FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM words)
+    ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+    sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""

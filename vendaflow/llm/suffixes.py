@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from vendaflow.llm.anchors import (
-    CLASS, MISSING_ID, SPANS_TYPE, Scheme, classes, merged, occurrences, row_batches, unsettled,
+    CLASS, MISSING_ID, SPANS_TYPE, Scheme, by_class, classes, merged, occurrences, row_batches, unsettled,
     window_spans, with_texts,
 )
 from vendaflow.llm.common import column, saved
@@ -182,7 +182,7 @@ def repeated_spans(docs: DataFrame, window: int = 200, shard_kinds: int = SHARD_
     found = occurrences(docs, scheme)
     kinds = classes(found, scheme)
     twice = kinds.filter("times > 1").select(*CLASS)
-    whole = found.join(twice, CLASS, "left_semi").select(
+    whole = by_class(found, twice).select(
         "doc", "tag", F.col("lo").alias("a"), (F.col("lo") + F.col("n")).alias("b")
     )
     few, crowded = unsettled(kinds, scheme, shard_kinds)

@@ -294,3 +294,21 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch(
         {n: pa.array(c, k) for n, c, k in zip(names, zip(*rows), kinds)}
     )
+
+
+RECORDS_SQL = r"""
+WITH payloads AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+        sha1(coalesce(html, '')) AS hex
+    FROM pages
+), firsts AS (
+    SELECT hex, payload_bytes, min(page_id) AS first FROM payloads GROUP BY ALL
+)
+SELECT page_id, payload_bytes,
+    array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        CAST((CAST('0x' || substr(hex, 5 * (i // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31
+            AS INTEGER) + 1, 1)), '') AS payload_digest,
+    CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> first THEN first END AS refers_to
+FROM payloads JOIN firsts USING (hex, payload_bytes)
+"""
