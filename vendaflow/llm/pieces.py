@@ -7,6 +7,7 @@ import heapq
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
@@ -14,7 +15,8 @@ from pyspark.sql import DataFrame, functions as F
 from vendaflow.llm.common import column, text_or_empty
 
 SPACE = "▁"
-CACHED = 400_000  # segments a worker remembers; a second set of as many is the one before
+ROWS = 128  # texts that are encoded, checked and handed on together
+CACHED = 250_000  # segments a worker remembers; a second set of as many is the one before
 LONGEST_CACHED = 40  # characters
 CHECKED = 2000  # new segments that go to the library at once
 SCANNED = 24  # characters up to which searching a list beats a heap
@@ -221,25 +223,27 @@ def encode(docs: DataFrame, path: str, ids: bool = True) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path)
-        for batch in batches:
-            counts, joined, decoded = [], [], []
-            for text in column(batch, "text"):
-                ids_text, n, back = words.encode(text_or_empty(text))
-                counts.append(n)
-                joined.append(ids_text)
-                decoded.append(back)
-            words.check()
-            arrays = dict(zip(batch.schema.names, batch.columns)) | {
-                "n_tokens": pa.array(counts, pa.int64()),
-                "ids_text": pa.array(joined, pa.string()),
-                "decoded": pa.array(decoded, pa.string()),
-            }
-            if ids:
-                arrays["ids"] = pa.array(
-                    [[int(i) for i in j.split(",")] if j else [] for j in joined],
-                    pa.list_(pa.int32()),
-                )
-            yield pa.record_batch(arrays)
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                counts, joined, decoded = [], [], []
+                for text in column(batch, "text"):
+                    ids_text, n, back = words.encode(text_or_empty(text))
+                    counts.append(n)
+                    joined.append(ids_text)
+                    decoded.append(back)
+                words.check()
+                arrays = dict(zip(batch.schema.names, batch.columns)) | {
+                    "n_tokens": pa.array(counts, pa.int64()),
+                    "ids_text": pa.array(joined, pa.string()),
+                    "decoded": pa.array(decoded, pa.string()),
+                }
+                if ids:
+                    every = ",".join(filter(None, joined))
+                    numbers = np.fromstring(every, np.int32, sep=",") if every else np.zeros(0, np.int32)
+                    ends = np.cumsum([0, *counts], dtype=np.int32)
+                    arrays["ids"] = pa.ListArray.from_arrays(ends, numbers)
+                yield pa.record_batch(arrays)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(run, f"{schema}, {added}")
