@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from vendaflow.llm.common import column, saved, text_or_empty
 from vendaflow.operators.joins import hot_keys, spread_join
 
-TOKENS = 1 << 19  # tokens looked at together
+TOKENS = 1 << 17  # tokens looked at together
 _PLACE = np.uint64((1 << 24) - 1)
 _BASE = 0x9E3779B97F4A7C15 | 1
 MISSING_ID = -(1 << 63)  # stands for a null doc_id in keys
