@@ -12,7 +12,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from vendaflow.session import scratch_path
 
 
+BATCH_BYTES = 16 * 1024 * 1024
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. Arrow batches are bounded by bytes from then on, since by default they
+    are bounded by rows, and ten thousand long texts do not fit a task's memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
