@@ -13,6 +13,7 @@ from vendaflow.session import scratch_path
 
 
 BATCH_BYTES = 16 * 1024 * 1024
+BROADCAST_STRATA = 50_000  # names with a count, a few MB
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,7 +47,9 @@ def fit_sample(rows: DataFrame, stratum: str, per_stratum: int, seed: int) -> Da
     Rows are thinned by a hash of their text first, so that the ranking, which gathers a
     stratum in one task, sees about three times the rows it keeps. Equal texts count once.
     """
-    counts = rows.groupBy(stratum).agg(F.count("*").alias("_n"))
+    counts = saved(rows.groupBy(stratum).agg(F.count("*").alias("_n")), "strata")
+    if counts.count() <= BROADCAST_STRATA:  # else a shuffle join
+        counts = F.broadcast(counts)
     hashed = F.xxhash64(F.lit(seed), F.col("text"))
     share = F.pmod(hashed, F.lit(1_000_000)) / 1_000_000
     thin = rows.join(counts, stratum).filter(
