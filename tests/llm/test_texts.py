@@ -9,6 +9,7 @@ from data_llm import SCHEMA, frame
 from pyspark.sql import functions as F
 
 from vendaflow.llm import benchmark, language, pieces, quality
+from vendaflow.llm.common import fit_sample
 from vendaflow.llm.queries import VOCABULARY, quality_model, remainder
 
 SF = "/root/testdata/sf0.01"
@@ -115,6 +116,19 @@ def test_languages_of_documents_held_out(spark):
     assert 0 <= low and high <= 1
 
 
+def test_copies_do_not_thin_a_language(spark):
+    """All texts of a language that has few, 400 of one that has many, whatever their copies."""
+    few = spark.range(60000).selectExpr("concat('few ', id % 10) AS text", "'few' AS lang")
+    many = spark.range(31000).selectExpr("concat('many ', greatest(id, 30000)) AS text", "'many' AS lang")
+    rows = few.unionByName(many)
+    found = fit_sample(rows, "lang", 400, 7)
+    assert {r.lang: r["count"] for r in found.groupBy("lang").count().collect()} == {"few": 10, "many": 400}
+    assert found.distinct().count() == 410
+    one = fit_sample(rows, "lang", 1, 7).collect()
+    assert sorted(r.lang for r in one) == ["few", "many"]
+    assert sorted(one) == sorted(fit_sample(rows.repartition(7), "lang", 1, 7).collect())
+
+
 def test_language_of_odd_texts(spark):
     docs = [(1, "der die das und"), (2, "the and of to"), (3, None)] * 3
     rows = [(d, t, {1: "de", 2: "en"}.get(d), None, None) for d, t in docs]

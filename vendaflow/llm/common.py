@@ -42,18 +42,22 @@ def text_or_empty(value: str | None) -> str:
 
 
 def fit_sample(rows: DataFrame, stratum: str, per_stratum: int, seed: int) -> DataFrame:
-    """At most `per_stratum` rows of each value of `stratum`, the same ones at every run.
+    """`per_stratum` distinct texts of each value of `stratum`, or all if it has fewer; the
+    same ones at every run.
 
     Rows are thinned by a hash of their text first, so that the ranking, which gathers a
-    stratum in one task, sees about three times the rows it keeps. Equal texts count once.
+    stratum in one task, sees about three times the texts it keeps. The hash is the same for
+    all copies, so the share is set by the number of distinct texts, however often each occurs.
     """
-    counts = saved(rows.groupBy(stratum).agg(F.count("*").alias("_n")), "strata")
+    hashed = F.xxhash64(F.lit(seed), F.col("text"))
+    kinds = rows.select(stratum, hashed.alias("_h")).distinct()
+    counts = saved(kinds.groupBy(stratum).agg(F.count("*").alias("_n")), "strata")
     if counts.count() <= BROADCAST_STRATA:  # else a shuffle join
         counts = F.broadcast(counts)
-    hashed = F.xxhash64(F.lit(seed), F.col("text"))
     share = F.pmod(hashed, F.lit(1_000_000)) / 1_000_000
+    # With 64 more, too few are left once in 10^19 strata even if `per_stratum` is 1.
     thin = rows.join(counts, stratum).filter(
-        share * F.col("_n") <= F.lit(3 * per_stratum)
+        share * F.col("_n") <= F.lit(3 * per_stratum + 64)
     )
     distinct = thin.groupBy(stratum, "text").agg(F.min(hashed).alias("_h"))
     ranked = distinct.withColumn(
