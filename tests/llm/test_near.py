@@ -127,3 +127,11 @@ def test_vectors_without_id_and_empty_table(spark):
     assert n == 4 and found == {(None, 0, None, True), (4, 2, 4, True), (9, 2, 4, False)}
     empty = spark.createDataFrame([], VECTORS)
     assert vectors.near_vectors(empty).count() == 0
+
+
+def test_vectors_that_share_an_id(spark):
+    """Two vectors with one vec_id are two nodes, each with its own links and component."""
+    rows = [(1, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (2, [1.0, 0.01], 1), (3, [1.0, 0.02], 1), (0, [0.01, 1.0], 1)]
+    found, _ = linked(spark, rows)
+    wanted = {(1, 2, 1, True), (1, 1, 0, False), (2, 2, 1, False), (3, 2, 1, False), (0, 1, 0, True)}
+    assert found == wanted
