@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import tracemalloc
 
+import pytest
 from brute import warc_rows
 from pyspark.sql import functions as F
 
@@ -50,6 +52,36 @@ def test_payloads_from_chunks(spark, tmp_path):
             assert payloads[name] == (h or "").encode()
 
 
+def test_segments_of_another_record_are_an_error(spark, tmp_path):
+    """Origin, number and total length are looked at, not the digest alone."""
+    html = "abcdefgh" * 20
+    wanted = list(warc.page_records(1, "http://a.b/", html, None, 64))
+    assert len(wanted) == 3
+    for k, (old, new) in enumerate((
+        ("Origin-ID: <urn:page:1>", "Origin-ID: <urn:page:2>"), ("Segment-Number: 2", "Segment-Number: 3"),
+        ("Total-Length: ", "Total-Length: 1"), ("", ""),
+    )):
+        path = tmp_path / str(k)
+        path.mkdir()
+        text = "".join(r + "\n" for r in wanted)
+        assert old in text
+        (path / "a.txt").write_bytes(text.replace(old, new).encode())
+        if old:
+            with pytest.raises(Exception, match="segment"):
+                warc.read_records(spark, str(path)).collect()
+        else:
+            assert warc.read_records(spark, str(path)).first().payload_bytes == 160
+
+
+def test_a_payload_is_held_once_when_cut():
+    html = "0123456789abcdef" * (1 << 19)
+    tracemalloc.start()
+    n = sum(1 for _ in warc.page_records(1, "http://a.b/", html, None, warc.CHUNK_BYTES))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 128 and peak < 1.5 * len(html)
+
+
 def test_small_payloads_are_all_responses(spark, tmp_path):
     rows = [(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abc"), (4, "u", "abc"), (3, "u", "abc")]
     found = archived(spark, rows, str(tmp_path / "w"), least_bytes=3)

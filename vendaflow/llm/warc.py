@@ -32,30 +32,43 @@ def payload_digest(payload: bytes) -> str:
     return base32_sha1(state.digest())
 
 
-def cuts(block: bytes, chunk_bytes: int) -> list[int]:
-    """Where to cut a block that starts with HTTP_HEAD into chunks of at least 32 bytes.
+def part(payload: bytes, a: int, b: int) -> bytes:
+    """Bytes a to b of HTTP_HEAD, the payload and a line end, which are never put together."""
+    head = HTTP_HEAD.encode()
+    c, d = (max(0, i - len(head)) for i in (a, b))
+    e, f = (max(0, i - len(payload)) for i in (c, d))
+    return head[a:b] + payload[c:d] + b"\r\n"[e:f]
+
+
+def cuts(payload: bytes, chunk_bytes: int) -> list[int]:
+    """Where to cut the block of HTTP_HEAD and a payload into chunks of at least 32 bytes.
 
     Cuts are between characters, and so that no chunk, with what stands before and after it
     in a record, holds what separates records.
     """
     between, version = BETWEEN.encode(), VERSION.encode()
-    closed = block + b"\r\n"  # what follows the last chunk starts like this
-    marks = [m.start() + 5 for m in re.finditer(b"(?=" + re.escape(between) + b")", closed)]
-    found, end = [0], 0
-    while end < len(block):
-        at = found[-1]
-        end = min(len(block), max(at, len(HTTP_HEAD)) + max(32, chunk_bytes))
+    length, size = len(HTTP_HEAD) + len(payload), len(between)
+    found = re.compile(b"(?=" + re.escape(between) + b")").finditer
+    # Separators in the payload, and those that begin in the head or end in the line end.
+    marks = {m.start() + len(HTTP_HEAD) + 5 for m in found(payload)}
+    for a, b in ((0, len(HTTP_HEAD) + size), (max(0, length - size), length + 2)):
+        marks |= {m.start() + a + 5 for m in found(part(payload, a, b))}
+    marks = sorted(marks)
+    ends, end = [0], 0
+    while end < length:
+        at = ends[-1]
+        end = min(length, max(at, len(HTTP_HEAD)) + max(32, chunk_bytes))
         later = bisect.bisect_right(marks, at)
         if later < len(marks):
             end = min(end, marks[later])
-        while end < len(block) and (
-            block[end] & 0xC0 == 0x80
-            or closed.startswith((version, b"\r\n" + version), end)
-            or (block[max(at, end - len(between)) : end] + b"\r\n").endswith(between)
+        while end < length and (
+            part(payload, end, end + 1)[0] & 0xC0 == 0x80
+            or part(payload, end, end + size).startswith((version, b"\r\n" + version))
+            or (part(payload, max(at, end - size), end) + b"\r\n").endswith(between)
         ):
             end -= 1
-        found.append(end)
-    return found
+        ends.append(end)
+    return ends
 
 
 def record(fields: list[tuple[str, object]], block: str, length: int) -> str:
@@ -97,11 +110,10 @@ def page_records(
             "", 0,
         )
         return
-    block = HTTP_HEAD.encode() + payload
-    ends = cuts(block, chunk_bytes)
+    ends = cuts(payload, chunk_bytes)
     many = len(ends) > 2
     for number, (a, b) in enumerate(zip(ends, ends[1:]), 1):
-        one = block[a:b].decode()
+        one = part(payload, a, b).decode()
         if number == 1:
             fields = [
                 ("WARC-Type", "response"), ("WARC-Record-ID", name), *common,
@@ -113,7 +125,7 @@ def page_records(
                 ("WARC-Type", "continuation"), ("WARC-Record-ID", f"{name[:-1]}#{number}>"),
                 ("WARC-Date", "2000-01-01T00:00:00Z"),
                 ("WARC-Segment-Origin-ID", name), ("WARC-Segment-Number", number),
-                ("WARC-Segment-Total-Length", len(block) if b == len(block) else None),
+                ("WARC-Segment-Total-Length", b if b == ends[-1] else None),
             ]
         yield record(fields, one, b - a)
 
@@ -229,8 +241,29 @@ class Running:
 
     def __init__(self, fields: dict[str, str]):
         self.fields, self.sha1, self.bytes = fields, hashlib.sha1(), 0
-
-    def add(self, chunk: bytes) -> None:
+        self.number, self.length = int(fields.get("warc-segment-number", 1)), 0
+        self.total = None if "warc-segment-number" in fields else -1  # -1: not in segments
+        if self.number != 1:
+            raise ValueError(f"{fields['warc-record-id']} begins with segment {self.number}")
+
+    def add(self, block: bytes) -> None:
+        """The block of the first segment, which in a response starts with the HTTP head."""
+        self.length += len(block)
+        if self.fields["warc-type"] == "response":
+            block = block.partition(b"\r\n\r\n")[2]
+        self.feed(block)
+
+    def carry_on(self, fields: dict[str, str], chunk: bytes) -> None:
+        """The next segment: it has to name this record and the number that follows."""
+        name, number = fields["warc-segment-origin-id"], int(fields["warc-segment-number"])
+        if name != self.fields["warc-record-id"] or number != self.number + 1 or self.total is not None:
+            raise ValueError(f"segment {number} of {name} does not follow its record")
+        total = fields.get("warc-segment-total-length")
+        self.number, self.total = number, None if total is None else int(total)
+        self.length += len(chunk)
+        self.feed(chunk)
+
+    def feed(self, chunk: bytes) -> None:
         self.sha1.update(chunk)
         self.bytes += len(chunk)
 
@@ -239,6 +272,8 @@ class Running:
         page = self.fields["warc-record-id"].strip("<>").removeprefix(PAGE)
         declared = self.fields["warc-payload-digest"].removeprefix("sha1:")
         refers = self.fields.get("warc-refers-to")
+        if self.total not in (-1, self.length):
+            raise ValueError(f"the segments of {page} do not have their total length")
         if refers is None:
             found = base32_sha1(self.sha1.digest())
             if found != declared:
@@ -257,7 +292,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
     Segments of a record follow each other in a file, and a compressed file is read by one
     task from start to end, so that a running digest is all that is kept of a payload. A
-    digest that differs from the record's header is an error.
+    digest that differs from the record's header is an error, and so is a segment whose origin,
+    number or total length is not that of the record it follows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,12 +302,14 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         def rows(records: Iterator) -> Iterator[tuple]:
             nonlocal going
             for fields, block in records:
-                if fields["warc-type"] != "continuation":
-                    if going:
-                        yield going.row()
-                    going = Running(fields)
-                    if fields["warc-type"] == "response":
-                        block = block.partition(b"\r\n\r\n")[2]
+                if fields["warc-type"] == "continuation":
+                    if going is None:
+                        raise ValueError("a file begins with a continuation")
+                    going.carry_on(fields, block)
+                    continue
+                if going:
+                    yield going.row()
+                going = Running(fields)
                 going.add(block)
 
         for batch in batches:
