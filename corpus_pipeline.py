@@ -27,7 +27,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that hold no benchmark item."""
-    return benchmark.without_items(docs, table(spark, sf_dir, "benchmark"))
+    return benchmark.without_items(docs, table(spark, sf_dir, "benchmark"), spare_nameless=False)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -135,3 +135,11 @@ def test_vectors_that_share_an_id(spark):
     found, _ = linked(spark, rows)
     wanted = {(1, 2, 1, True), (1, 1, 0, False), (2, 2, 1, False), (3, 2, 1, False), (0, 1, 0, True)}
     assert found == wanted
+
+
+def test_simhash_tells_rows_apart_by_id_and_text(spark):
+    words = [" ".join(f"{c}{i}" for i in range(200)) for c in "abc"]
+    # 7 comes with a copy of 5's text and with one of its own.
+    docs = [(5, words[0]), (7, words[0]), (7, words[1]), (None, words[0]), (None, words[2]), (None, words[2])]
+    kept = [(r.doc_id, r.text) for r in simhash.near_dedup(frame(spark, docs, clashing=True)).collect()]
+    assert sorted(kept, key=str) == sorted([docs[0], docs[2], docs[4]], key=str)

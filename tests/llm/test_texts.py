@@ -85,6 +85,17 @@ def test_contained_items(spark):
     assert benchmark.contained(frame(spark, []), df).count() == 0
 
 
+def test_items_of_rows_that_share_an_id(spark):
+    item = "Alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    df = spark.createDataFrame([(1, item)], "item_id int, text string")
+    docs = frame(spark, [(1, item), (1, "clean"), (None, item), (None, "clean"), (2, None)], clashing=True)
+    clean = benchmark.without_items(docs, df, spare_nameless=False)
+    assert clean.columns == docs.columns
+    assert {(r.doc_id, r.text) for r in clean.collect()} == {(1, "clean"), (None, "clean"), (2, None)}
+    kept = {(r.doc_id, r.text) for r in benchmark.without_items(docs, df).collect()}
+    assert kept == {(1, "clean"), (None, item), (None, "clean"), (2, None)}
+
+
 def test_items_in_several_parts(spark, monkeypatch):
     docs, items = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     whole = {tuple(r) for r in benchmark.contained(docs, items).collect()}

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from vendaflow.llm.common import ceil_div, column, text_or_empty
+from vendaflow.llm.common import ceil_div, column, text_or_empty, text_tag, without_rows
 
 WORDS = re.compile(r"[^\W_]+")
 SHINGLE_WORDS = 5
@@ -120,6 +120,17 @@ def contained(docs: DataFrame, items: DataFrame, share: Fraction = Fraction(4, 5
     texts are searched apart, and the best containment counts. The items are broadcast in
     parts of at most PART_BYTES of text; each part is one pass over the documents.
     """
+    return (
+        held(docs, items, share)
+        .groupBy("doc_id", "item_id")
+        .agg(F.max(F.struct(F.col("n_found") / F.col("n_shingles"), "n_found", "n_shingles")).alias("m"))
+        .select("doc_id", "item_id", "m.n_found", "m.n_shingles")
+        .withColumn("containment", F.col("n_found") / F.col("n_shingles"))
+    )
+
+
+def held(docs: DataFrame, items: DataFrame, share: Fraction) -> DataFrame:
+    """(doc_id, tag, item_id, n_found, n_shingles) of each row and each text of an item it holds."""
     items = (
         items.select(F.col("item_id").cast("bigint").alias("item_id"), "text")
         .filter("item_id IS NOT NULL AND text IS NOT NULL")
@@ -135,12 +146,7 @@ def contained(docs: DataFrame, items: DataFrame, share: Fraction = Fraction(4, 5
         ids = [r["item_id"] for r in rows]
         one = _search(docs, ItemIndex.build(numbered, share), ids)
         found = one if found is None else found.unionByName(one)
-    return (
-        found.groupBy("doc_id", "item_id")
-        .agg(F.max(F.struct(F.col("n_found") / F.col("n_shingles"), "n_found", "n_shingles")).alias("m"))
-        .select("doc_id", "item_id", "m.n_found", "m.n_shingles")
-        .withColumn("containment", F.col("n_found") / F.col("n_shingles"))
-    )
+    return found
 
 
 def _search(docs: DataFrame, index: ItemIndex, ids: list[int]) -> DataFrame:
@@ -150,23 +156,30 @@ def _search(docs: DataFrame, index: ItemIndex, ids: list[int]) -> DataFrame:
         index, ids = shared.value
         for batch in batches:
             rows = [
-                (doc, ids[item], hits, size)
-                for doc, text in zip(column(batch, "doc_id"), column(batch, "text"))
+                (doc, tag, ids[item], hits, size)
+                for doc, tag, text in zip(*[column(batch, n) for n in ("doc_id", "tag", "text")])
                 for item, hits, size in index.search(text)
             ]
-            columns = zip(*rows) if rows else [[]] * 4
-            names = ["doc_id", "item_id", "n_found", "n_shingles"]
+            columns = zip(*rows) if rows else [[]] * 5
+            names = ["doc_id", "tag", "item_id", "n_found", "n_shingles"]
             yield pa.record_batch({n: pa.array(c, pa.int64()) for n, c in zip(names, columns)})
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
-        run, "doc_id bigint, item_id bigint, n_found bigint, n_shingles bigint"
+    return docs.select(
+        F.col("doc_id").cast("bigint"), "text", text_tag().alias("tag")
+    ).mapInArrow(
+        run, "doc_id bigint, tag bigint, item_id bigint, n_found bigint, n_shingles bigint"
     )
 
 
-def without_items(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that hold no benchmark item; rows with a null doc_id stay."""
-    held = contained(docs, items).select("doc_id").distinct()
-    return docs.join(held, "doc_id", "left_anti").select(*docs.columns)
+def without_items(docs: DataFrame, items: DataFrame, spare_nameless: bool = True) -> DataFrame:
+    """The documents that hold no benchmark item, told apart by doc_id and text.
+
+    Rows with a null doc_id stay, unless `spare_nameless` is false.
+    """
+    gone = held(docs, items, Fraction(4, 5))
+    if spare_nameless:
+        gone = gone.filter("doc_id IS NOT NULL")
+    return without_rows(docs, gone).select(*[f"`{c}`" for c in docs.columns])
 
 
 CONTAINED_SQL = r"""

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vendaflow.session import scratch_path
 
@@ -66,6 +66,18 @@ def fit_sample(rows: DataFrame, stratum: str, per_stratum: int, seed: int) -> Da
     return ranked.filter(F.col("_rank") <= per_stratum).drop("_h", "_rank")
 
 
+def text_tag() -> Column:
+    """With doc_id, what tells rows apart; that of a null text is not null."""
+    return F.xxhash64("text")
+
+
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of `docs` whose (doc_id, text tag) is not in `gone`; a null doc_id is like another."""
+    gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("tag").alias("_gone_tag")).distinct()
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_gone_id"))
+    return docs.join(gone, same & (text_tag() == F.col("_gone_tag")), "left_anti")
+
+
 def pair_tasks(rows: DataFrame, cell: list[str], by: str, limit: int) -> DataFrame:
     """Deal the rows of each cell so that no task gets a cell of more than `limit` rows whole.
 

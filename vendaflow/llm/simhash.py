@@ -9,7 +9,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from vendaflow.llm.common import Links, column, components, pair_tasks, saved, text_or_empty
+from vendaflow.llm.common import (
+    Links, column, components, pair_tasks, saved, text_or_empty, text_tag, without_rows,
+)
 
 BITS = 64
 CELL_ROWS = 4096  # fingerprints of a cell that one task takes; larger cells are cut
@@ -45,7 +47,7 @@ def fingerprint(text: str | None, words_per_shingle: int = 4, seed: int = 42) ->
 
 
 def fingerprints(docs: DataFrame, words_per_shingle: int = 4) -> DataFrame:
-    """(doc_id, fp): one 64-bit fingerprint per document, as a signed long."""
+    """(doc_id, tag, fp): one 64-bit fingerprint per document, as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -53,13 +55,14 @@ def fingerprints(docs: DataFrame, words_per_shingle: int = 4) -> DataFrame:
             yield pa.record_batch(
                 {
                     "doc_id": batch.column("doc_id"),
+                    "tag": batch.column("tag"),
                     "fp": pa.array(np.array(found, dtype=np.uint64).view(np.int64)),
                 }
             )
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id bigint, fp bigint"
-    )
+    return docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), "text", text_tag().alias("tag")
+    ).mapInArrow(run, "doc_id bigint, tag bigint, fp bigint")
 
 
 def blocks(max_bits: int) -> list[tuple[int, int]]:
@@ -241,33 +244,48 @@ def group_starts(part: pa.Table, keys: list[str]) -> list[int]:
     return [0, *(np.flatnonzero(changed) + 1).tolist()]
 
 
+def grouped(docs: DataFrame, words_per_shingle: int, max_bits: int) -> DataFrame:
+    """(doc_id, tag, fp, chosen): `chosen` is the first row (no_id, doc_id, tag) of the group."""
+    prints = saved(fingerprints(docs, words_per_shingle), "fingerprints")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tag")
+    nodes = prints.groupBy("fp").agg(F.min(row).alias("first"))
+    nodes = saved(nodes.select(F.col("fp").alias("node"), "fp", "first"), "distinct-fingerprints")
+    links = saved(near_links(nodes.select("node", "fp"), max_bits), "simhash-links")
+    groups = components(links).join(nodes.select("node", "first"), "node")
+    names = groups.groupBy("component").agg(F.min("first").alias("chosen"))
+    groups = groups.join(names, "component").select("node", "chosen")
+    named = nodes.join(groups, "node", "left").select(
+        "fp", F.coalesce("chosen", "first").alias("chosen")
+    )
+    return prints.join(named, "fp").select("doc_id", "tag", "fp", "chosen")
+
+
 def near_groups(docs: DataFrame, words_per_shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """(doc_id, fp, component_id): groups of documents linked by near fingerprints.
 
     Null and word-free texts have fingerprint zero and are linked like any other. Documents
-    with equal fingerprints count as one node, the smallest doc_id, so that copies are never
-    paired. Rows with a null doc_id are returned, but give no component its name.
+    with equal fingerprints count as one node, so that copies are never paired. A group is
+    named by its smallest doc_id, or by null if none of its rows has one.
     """
-    prints = saved(fingerprints(docs, words_per_shingle), "fingerprints")
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("node"))
-    nodes = saved(nodes, "distinct-fingerprints")
-    links = saved(near_links(nodes.filter("node IS NOT NULL"), max_bits), "simhash-links")
-    groups = components(links)
-    named = nodes.join(groups, "node", "left").select(
-        "fp", F.coalesce("component", "node").alias("component_id")
-    )
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    found = grouped(docs, words_per_shingle, max_bits)
+    return found.select("doc_id", "fp", F.col("chosen.doc_id").alias("component_id"))
 
 
 def near_dedup(docs: DataFrame, words_per_shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """The documents without those that are not the smallest of their group.
+    """The documents without those that are not the first of their group.
 
-    Of rows with the same doc_id, as of a repeated row, all stay or go together.
+    The first has the smallest doc_id; rows without one come last. Of rows with the same doc_id
+    and text, as of a repeated row, all stay or go together; without a doc_id, one stays.
     """
-    gone = (
-        near_groups(docs, words_per_shingle, max_bits)
-        .filter(F.col("doc_id") != F.col("component_id"))
-        .select("doc_id")
-        .distinct()
+    found = grouped(docs, words_per_shingle, max_bits)
+    chosen = F.col("doc_id").eqNullSafe(F.col("chosen.doc_id")) & (
+        F.col("tag") == F.col("chosen.tag")
     )
-    return docs.join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    found = saved(found.select("doc_id", "tag", chosen.alias("stays")), "simhash-chosen")
+    kept = without_rows(docs, found.filter("NOT stays"))
+    if not found.filter("doc_id IS NULL AND stays").isEmpty():
+        nameless = kept.filter("doc_id IS NULL").withColumn("_tag", text_tag())
+        kept = kept.filter("doc_id IS NOT NULL").unionByName(
+            nameless.dropDuplicates(["_tag"]).drop("_tag")
+        )
+    return kept.select(*[f"`{c}`" for c in docs.columns])
