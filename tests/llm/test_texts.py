@@ -64,6 +64,18 @@ def test_a_text_that_has_the_added_columns(spark):
     assert r.n_tokens == 2 and len(r.ids) == 2
 
 
+def test_decoding_is_compared_with_the_library(monkeypatch):
+    path = public_tokenizers.path(VOCABULARY)
+    words = pieces.MergeVocabulary(path)
+    for text in ODD:
+        words.encode(text)
+    words.check()
+    monkeypatch.setattr(words, "decode", lambda ids: pieces.MergeVocabulary.decode(words, ids) + "x")
+    words.encode("neverseen")
+    with pytest.raises(ValueError, match="decoding"):
+        words.check()
+
+
 def test_contained_items(spark):
     item = "Alpha beta gamma delta epsilon zeta eta theta iota kappa"
     items = [(1, item), (2, "two words"), (3, None), (4, " .,! "), (None, item), (1, "Another text for item one")]

@@ -171,7 +171,8 @@ class MergeVocabulary:
         return found
 
     def check(self) -> None:
-        """Compare new segments with the library, which puts a space before each text itself."""
+        """Compare new segments with the library, which puts a space before each text itself
+        and takes it away when it decodes."""
         new, self.unchecked = self.unchecked, []
         spaced = [(s, ids) for s, ids in new if s[0] == SPACE and len(s) > 1]
         others = [(s, ids) for s, ids in new if s[0] != SPACE and self.bytes]
@@ -182,6 +183,11 @@ class MergeVocabulary:
             for (segment, ids), expected in zip(had, self.library.encode(texts, num_threads=1)):
                 if expected[skipped:] != ids:
                     raise ValueError(f"encoding of {segment[:40]!r} differs from the library's")
+        decoded = self.library.decode([ids for _, ids in new], num_threads=1) if new else []
+        for (segment, ids), expected in zip(new, decoded):
+            back = self.decode(ids)
+            if expected != (back[1:] if segment[0] == SPACE else back):
+                raise ValueError(f"decoding of {segment[:40]!r} differs from the library's")
 
     def encode(self, text: str) -> tuple[str, int, str]:
         """(ids joined by commas, number of ids, decoded text)."""
