@@ -152,6 +152,18 @@ def test_copies_do_not_thin_a_language(spark):
     assert sorted(one) == sorted(fit_sample(rows.repartition(7), "lang", 1, 7).collect())
 
 
+def test_a_language_of_long_texts_is_learned(spark):
+    """Long texts make up for short ones that a language lacks, and only then."""
+    rows = [(1, "the and of to " * 2000, "en"), (2, "the of", "en"), (3, "der die das und " * 2000, "de")]
+    docs = spark.createDataFrame([(*r, None, None) for r in rows], SCHEMA)
+    model = language.fit(docs)
+    assert model.languages == ["de", "en"]
+    found = language.identify(docs, model).collect()
+    assert {(r.doc_id, r.lang_pred) for r in found} == {(1, "en"), (2, "en"), (3, "de")}
+    taken = language.usable_sample(docs, 1, 20_000, 7).collect()
+    assert {(r.lang, r.long) for r in taken} == {("en", False), ("de", True)} and len(taken) == 2
+
+
 def test_language_of_odd_texts(spark):
     docs = [(1, "der die das und"), (2, "the and of to"), (3, None)] * 3
     rows = [(d, t, {1: "de", 2: "en"}.get(d), None, None) for d, t in docs]

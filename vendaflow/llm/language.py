@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from vendaflow.llm.common import column, fit_sample, text_or_empty
+from vendaflow.llm.common import column, fit_sample, saved, text_or_empty
 
 MAX_N = 3
 UNDETERMINED = "und"
@@ -93,51 +94,109 @@ class LanguageModel:
         return names, best
 
 
+def usable_sample(rows: DataFrame, per_language: int, longest: int, seed: int) -> DataFrame:
+    """(text, lang, long, _rank), saved: `per_language` texts of a language, the short ones first."""
+    usable = rows.select("text", "lang", (F.length("text") > longest).alias("long")).filter(
+        F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
+    )
+    short = saved(
+        fit_sample(usable.filter("NOT long").drop("long"), "lang", per_language, seed), "fit-short"
+    )
+    enough = short.groupBy("lang").count().filter(F.col("count") >= per_language)
+    long = usable.filter("long").drop("long").join(F.broadcast(enough), "lang", "left_anti")
+    both = short.withColumn("long", F.lit(False)).unionByName(
+        fit_sample(long, "lang", per_language, seed).withColumn("long", F.lit(True))
+    )
+    own = Window.partitionBy("lang").orderBy("long", F.xxhash64(F.lit(seed + 1), "text"), "text")
+    ranked = both.withColumn("_rank", F.row_number().over(own))
+    return saved(ranked.filter(F.col("_rank") <= per_language), "fit-sample")
+
+
+def sampled_grams(sample: DataFrame) -> DataFrame:
+    """(lang, _rank, grams): the n-grams are found in the tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                one = batch.slice(at, 1)
+                found = grams(one.column("text")[0].as_py()).astype(np.int64)
+                yield pa.record_batch(
+                    {
+                        "lang": one.column("lang"),
+                        "_rank": one.column("_rank"),
+                        "grams": pa.array([found], pa.list_(pa.int64())),
+                    }
+                )
+
+    return sample.select("text", "lang", "_rank").mapInArrow(
+        run, "lang string, _rank int, grams array<bigint>"
+    )
+
+
+def sampled_kernel(sample: DataFrame, known: np.ndarray, scaled: np.ndarray) -> DataFrame:
+    """(lang, _rank, kernel): each text's kernel values with the landmarks, found in the tasks."""
+    shared = sample.sparkSession.sparkContext.broadcast((known, scaled))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, scaled = shared.value
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                found = [grams(t) for t in column(batch, "text")]
+                kernel = (presence(found, known) @ scaled.T) / sizes(found)[:, None]
+                yield pa.record_batch(
+                    {
+                        "lang": batch.column("lang"),
+                        "_rank": batch.column("_rank"),
+                        "kernel": pa.array(list(kernel), pa.list_(pa.float32())),
+                    }
+                )
+
+    return sample.select("text", "lang", "_rank").mapInArrow(
+        run, "lang string, _rank int, kernel array<float>"
+    )
+
+
 def fit(
     rows: DataFrame, per_language: int = 400, landmarks: int = 160, ridge: float = 1e-2,
     longest: int = 20_000, seed: int = 7,
 ) -> LanguageModel:
     """Learn from (text, lang) rows; null texts and languages are left out.
 
-    A bounded sample is fitted on the driver: `per_language` texts of each language, none
-    with more than `longest` characters, of which `landmarks` in all are landmarks. Without
-    usable rows the model knows no language and predicts `und`.
+    A bounded sample is learned from: `per_language` texts of each language, of which
+    `landmarks` in all, but one of each language at least, are landmarks. Texts of more than
+    `longest` characters count only in a language that has too few others. The driver holds
+    the n-grams of the landmarks and sums over the sample, whose rows are read in blocks.
+    Without usable rows the model knows no language and predicts `und`.
     """
-    usable = rows.select("text", "lang").filter(
-        F.col("lang").isNotNull() & (F.length("text") <= longest) & F.col("text").rlike(r"\p{L}")
-    )
-    sample = fit_sample(usable, "lang", per_language, seed).orderBy(
-        F.xxhash64(F.lit(seed + 1), "text"), "text"
-    )
-    sample = [(r["text"], r["lang"]) for r in sample.select("text", "lang").toLocalIterator()]
-    languages = sorted({lang for _, lang in sample})
+    sample = usable_sample(rows, per_language, longest, seed)
+    counts = {r["lang"]: r["count"] for r in sample.groupBy("lang").count().collect()}
+    languages = sorted(counts)
     if not languages:
         nothing = np.zeros((0, 0), dtype=np.float32)
         return LanguageModel([], np.zeros(0, np.uint64), nothing, nothing, np.zeros(0))
-    found = [grams(t) for t, _ in sample]
     each = -(-landmarks // len(languages))
-    marks = [
-        i for name in languages for i in [i for i, (_, x) in enumerate(sample) if x == name][:each]
-    ]
-    known = np.unique(np.concatenate([found[i] for i in marks]))
-    scaled = presence([found[i] for i in marks], known)
-    scaled /= sizes([found[i] for i in marks])[:, None]
+    marks = sampled_grams(sample.filter(F.col("_rank") <= each)).orderBy("lang", "_rank")
+    marks = [np.array(r["grams"], np.int64).astype(np.uint64) for r in marks.toLocalIterator()]
+    known = np.unique(np.concatenate(marks))
+    scaled = presence(marks, known)
+    scaled /= sizes(marks)[:, None]
     values, vectors = np.linalg.eigh((scaled @ scaled.T).astype(np.float64))
     kept = values > 1e-6 * values.max()
     whiten = vectors[:, kept] / np.sqrt(values[kept])
-    kernel = np.concatenate(
-        [
-            (presence(found[i : i + ROWS], known) @ scaled.T) / sizes(found[i : i + ROWS])[:, None]
-            for i in range(0, len(found), ROWS)
-        ]
-    )
-    features = np.column_stack((kernel @ whiten, np.ones(len(found))))
-    targets = np.array([[float(lang == name) for name in languages] for _, lang in sample])
     # Each language weighs the same, however many texts it has.
-    weight = 1 / targets.sum(axis=0)[targets.argmax(axis=1)]
-    weight *= len(found) / weight.sum()
-    gram = features.T @ (features * weight[:, None]) + ridge * np.eye(features.shape[1])
-    solved = np.linalg.solve(gram, features.T @ (targets * weight[:, None]))
+    total = sum(counts.values())
+    gram = ridge * np.eye(whiten.shape[1] + 1)
+    answers = np.zeros((len(gram), len(languages)))
+    at = {name: i for i, name in enumerate(languages)}
+    kernel = sampled_kernel(sample, known, scaled).orderBy("lang", "_rank").toLocalIterator()
+    while block := list(itertools.islice(kernel, ROWS)):
+        features = np.array([r["kernel"] for r in block]) @ whiten
+        features = np.column_stack((features, np.ones(len(block))))
+        weight = np.array([total / (len(languages) * counts[r["lang"]]) for r in block])
+        gram += features.T @ (features * weight[:, None])
+        np.add.at(answers.T, [at[r["lang"]] for r in block], features * weight[:, None])
+    solved = np.linalg.solve(gram, answers)
     weights = (whiten @ solved[:-1]).astype(np.float32)
     return LanguageModel(languages, known, scaled, weights, solved[-1].astype(np.float32))
 
