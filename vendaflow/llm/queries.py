@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 from vendaflow.llm import (
-    benchmark, language, pieces, quality, simhash, substrings, suffixes, urls, vectors, warc,
+    benchmark, credentials, language, pieces, quality, simhash, substrings, suffixes, urls, vectors, warc,
 )
 from vendaflow.llm.common import table
 from vendaflow.session import scratch_path
@@ -91,6 +91,10 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
 
 
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.digests(credentials.scan(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup,
     "op2_url_filters": url_filters,
@@ -102,6 +106,7 @@ QUERIES = {
     "op8_quality": quality_scores,
     "op9_embedding_dedup": embedding_groups,
     "op10_substring_dedup": substring_dedup,
+    "op11_secret_scan": secret_scan,
 }
 
 ORACLE_SQL = {
@@ -110,4 +115,5 @@ ORACLE_SQL = {
     "op7_decontamination": benchmark.CONTAINED_SQL,
     "op9_embedding_dedup": vectors.NEAR_SQL,
     "op10_substring_dedup": substrings.REMOVED_SQL,
+    "op11_secret_scan": credentials.SCAN_SQL,
 }
