@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 from vendaflow.llm import (
-    benchmark, credentials, language, pieces, quality, simhash, substrings, suffixes, urls, vectors, warc,
+    benchmark, credentials, language, pieces, prefixes, quality, simhash, substrings, suffixes, urls, vectors, warc,
 )
 from vendaflow.llm.common import table
 from vendaflow.session import scratch_path
@@ -95,6 +95,10 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.digests(credentials.scan(table(spark, sf_dir, "documents")))
 
 
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup,
     "op2_url_filters": url_filters,
@@ -107,6 +111,7 @@ QUERIES = {
     "op9_embedding_dedup": embedding_groups,
     "op10_substring_dedup": substring_dedup,
     "op11_secret_scan": secret_scan,
+    "op12_prefix_trie": conversation_trie,
 }
 
 ORACLE_SQL = {
@@ -116,4 +121,5 @@ ORACLE_SQL = {
     "op9_embedding_dedup": vectors.NEAR_SQL,
     "op10_substring_dedup": substrings.REMOVED_SQL,
     "op11_secret_scan": credentials.SCAN_SQL,
+    "op12_prefix_trie": prefixes.PREFIX_SQL,
 }
