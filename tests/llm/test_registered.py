@@ -10,6 +10,7 @@ import public_tokenizers
 import sentencepiece
 from brute import near_vectors, simhash_groups, substring_dedup, suffix_dedup, warc_rows
 from compare import difference
+from test_whitening import plain as whitened_plain
 
 import corpus_pipeline
 from vendaflow.llm import benchmark
@@ -32,7 +33,7 @@ def found(spark, name):
 @pytest.mark.parametrize("name", ORACLE_SQL)
 def test_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "benchmark", "embeddings"):
+    for table in ("documents", "pages", "benchmark", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     assert difference(QUERIES[name](spark, SF), con, ORACLE_SQL[name]) is None
 
@@ -133,3 +134,17 @@ def test_stages_keep_the_columns(spark):
 def test_no_documents_at_all(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == 0
+
+
+def test_op13(spark):
+    table = spark.read.parquet(f"{SF}/embeddings.parquet").collect()
+    n, far, white, explained = whitened_plain([(r.vec_id, r.embedding) for r in table], 8)
+    wanted = {(r.vec_id, c + 1): (far[i], white[i][c]) for i, r in enumerate(table) for c in range(8)}
+    rows = QUERIES["op13_embedding_whitening"](spark, SF).collect()
+    assert len(rows) == len(wanted)
+    for r in rows:
+        deviation, value = wanted[r.vec_id, r.component]
+        assert (r.n, r.deviation) == (n, deviation)
+        assert abs(r.whitened) == pytest.approx(abs(value), rel=1e-6, abs=1e-8)
+        assert r.explained == pytest.approx(explained[r.component - 1], rel=1e-9)
+        assert r.identity_error < 1e-9

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 import public_tokenizers
 from vendaflow.llm import (
     benchmark, credentials, language, pieces, prefixes, quality, simhash, substrings, suffixes, urls, vectors, warc,
+    whitening,
 )
 from vendaflow.llm.common import table
 from vendaflow.session import scratch_path
@@ -99,6 +100,10 @@ def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixes.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup,
     "op2_url_filters": url_filters,
@@ -112,6 +117,7 @@ QUERIES = {
     "op10_substring_dedup": substring_dedup,
     "op11_secret_scan": secret_scan,
     "op12_prefix_trie": conversation_trie,
+    "op13_embedding_whitening": embedding_whitening,
 }
 
 ORACLE_SQL = {
