@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, functions as F
@@ -45,12 +46,16 @@ def number_sales(staged: DataFrame) -> DataFrame:
     return number_rows(staged, ["row_id"], "sk_venda")
 
 
-def look_up(rows: DataFrame, role_name: str, dim: Sized, limit: int) -> DataFrame:
-    """Add the role's foreign key by natural key, NULL where the dimension has no member."""
+def look_up(
+    rows: DataFrame, role_name: str, dim: Sized, limit: int, carried: Sequence[str] = ()
+) -> DataFrame:
+    """Add the role's foreign key by natural key, NULL where the dimension has no member, and
+    the `carried` columns of the member."""
     role = ROLES[role_name]
     keys = dim.df.select(
         *[F.col(c).alias(f"_nk_{c}") for c in role.table.natural],
         F.col(role.table.key).alias(role.foreign_key),
+        *carried,
     )
     pairs = [(a, f"_nk_{b}") for a, b in zip(LOOKUP[role_name], role.table.natural)]
     null_safe = bool(role.table.nullable)
@@ -61,8 +66,15 @@ def look_up(rows: DataFrame, role_name: str, dim: Sized, limit: int) -> DataFram
     return joined.drop(*[b for _, b in pairs])
 
 
-def build_fact(numbered: DataFrame, dims: dict[str, Sized], limit: int) -> DataFrame:
-    """Fact rows with all six keys looked up; small dimensions first, then large ones."""
+def build_fact(
+    numbered: DataFrame,
+    dims: dict[str, Sized],
+    limit: int,
+    carried: Mapping[str, Sequence[str]] = {},
+) -> DataFrame:
+    """Fact rows with all six keys looked up; small dimensions first, then large ones.
+
+    `carried`: by role, columns of the dimension that come with its key."""
     sized = {role: dims[ROLES[role].table.name] for role in LOOKUP}
     large = [role for role in LOOKUP if not sized[role].fits(limit)]
     if large:
@@ -70,7 +82,7 @@ def build_fact(numbered: DataFrame, dims: dict[str, Sized], limit: int) -> DataF
         sized.update({r: replace(sized[r], hot=h) for r, h in zip(large, hot)})
     rows = numbered
     for role in [*(r for r in LOOKUP if r not in large), *large]:
-        rows = look_up(rows, role, sized[role], limit)
+        rows = look_up(rows, role, sized[role], limit, carried.get(role, ()))
     values = {
         "vendas": F.col("sales"),
         "quantidade": F.col("quantity"),
@@ -78,7 +90,8 @@ def build_fact(numbered: DataFrame, dims: dict[str, Sized], limit: int) -> DataF
         "lucro": F.col("profit"),
         "ano_pedido": F.year("order_date"),
     }
-    return rows.select(*[values.get(c, F.col(c)).alias(c) for c in FATO_VENDAS.columns])
+    more = [c for columns in carried.values() for c in columns]
+    return rows.select(*[values.get(c, F.col(c)).alias(c) for c in FATO_VENDAS.columns], *more)
 
 
 FOREIGN_KEYS = [r.foreign_key for r in ROLES.values()]

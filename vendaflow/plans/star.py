@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from vendaflow.functions.measures import SUM, margin_pct, mean_line
 from vendaflow.operators.joins import Sized, spread_join
+from vendaflow.plans.layout import Zones
 from vendaflow.schema import ROLES
 
 # Attribute names as queries use them: name -> (role, dimension column).
@@ -93,9 +94,10 @@ def _sum(column: str) -> Column:
 class Star:
     """The loaded tables, and aggregation over them."""
 
-    def __init__(self, tables: dict[str, Sized], limit: int):
+    def __init__(self, tables: dict[str, Sized], limit: int, zones: Zones | None = None):
         self.tables = tables
         self.limit = limit
+        self.zones = zones
 
     def table(self, name: str) -> DataFrame:
         return self.tables[name].df
@@ -136,7 +138,9 @@ class Star:
         return spread_join(rows, members, pairs, "inner", dim.hot, by).drop(key)
 
     def fact(self, filters: Filters) -> DataFrame:
-        """The fact; a choice of years prunes its partitions."""
+        """The fact; a choice of years prunes its partitions, one of members its files."""
+        if self.zones and filters.chosen():
+            return self.zones.read(filters.chosen(), filters.anos)
         rows = self.table("fato_vendas")
         if filters.anos:
             rows = rows.filter(F.col("ano_pedido").isin(list(filters.anos)))

@@ -13,6 +13,9 @@ from vendaflow.operators.dimensions import first_seen, merge
 from vendaflow.operators.fact import FOREIGN_KEYS, build_fact, number_sales
 from vendaflow.operators.joins import BROADCAST_BYTES, Sized, hot_keys, row_bytes
 from vendaflow.operators.staging import PROBLEMS, stage, unfit
+from vendaflow.plans.layout import (
+    FILE_ROWS, Zones, carried, clustered, with_places, write_zones,
+)
 from vendaflow.plans.star import Star
 from vendaflow.schema import DIM_CLIENTE, DIM_PRODUTO, DIMENSIONS, FATO_VENDAS, ROLES, TABLES, Table
 from vendaflow.session import create_file, delete_file, list_folders, path_exists, scratch_path
@@ -39,10 +42,18 @@ class Warehouse:
     and a failed one changes nothing.
     """
 
-    def __init__(self, spark: SparkSession, root: str, broadcast_bytes: int = BROADCAST_BYTES):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        broadcast_bytes: int = BROADCAST_BYTES,
+        file_rows: int = FILE_ROWS,
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.limit = broadcast_bytes
+        self.file_rows = file_rows
+        self._known_zones: dict[str, Zones] = {}
         self.staged: DataFrame | None = None  # the good rows of the last load by this object
 
     # -- reading -------------------------------------------------------------------
@@ -69,10 +80,22 @@ class Warehouse:
         }
 
     def star(self) -> Star:
-        tables = self.tables()
-        if not tables:
+        entries = self.entries()
+        if not entries:
             raise LoadError(f"nothing has been loaded into {self.root}")
-        return Star(tables, self.limit)
+        return Star(self._sized(entries), self.limit, self._zones(entries[-1].path))
+
+    def _zones(self, fact_path: str) -> Zones | None:
+        """The ranges of the fact's files; None for a load that has none."""
+        if fact_path not in self._known_zones:
+            path = self._zones_path(fact_path)
+            if not path_exists(self.spark, path):
+                return None
+            self._known_zones[fact_path] = Zones(self.spark.read.parquet(path), fact_path)
+        return self._known_zones[fact_path]
+
+    def _zones_path(self, fact_path: str) -> str:
+        return f"{self.root}/zones/{fact_path.rsplit('/', 1)[-1]}"
 
     def ready(self) -> bool:
         """Whether the fact holds any row."""
@@ -130,9 +153,9 @@ class Warehouse:
             numbered = numbering.result()
 
         dims = {n: Sized(self._read(n, p), rows, size) for n, (p, rows, size) in written.items()}
-        fact = build_fact(numbered, dims, self.limit)
-        # One file per year where it is small; AQE splits a large year and merges small ones.
-        fact = fact.hint("rebalance", "ano_pedido")
+        fact = build_fact(numbered, with_places(dims), self.limit, carried())
+        years = -(-dims["dim_tempo"].rows // 366)
+        fact = clustered(fact, extracted, years, self.file_rows)
         written["fato_vendas"] = self._write_fact(fact, load_id)
         self._publish(written, load_id, number, self._hot(dims, written["fato_vendas"][0]))
         return LoadSummary(
@@ -186,17 +209,18 @@ class Warehouse:
         path = f"{self.root}/{FATO_VENDAS.name}/{load_id}"
         seen = Observation()
         misses = [F.count_if(F.col(k).isNull()).alias(k) for k in FOREIGN_KEYS]
-        # The partitioned write sorts by year anyway; order_id next keeps orders together.
         (
             fact.observe(seen, F.count("*").alias("rows"), *misses)
-            .sortWithinPartitions("ano_pedido", "order_id")
-            .write.partitionBy("ano_pedido")
+            .write.option("maxRecordsPerFile", self.file_rows)
+            .partitionBy("ano_pedido")
             .parquet(path)
         )
         missing = {k: seen.get[k] for k in FOREIGN_KEYS if seen.get[k]}
         if missing:
             raise LoadError(f"keys not found in their dimension: {missing}")
         rows = seen.get["rows"]
+        if rows:
+            write_zones(self.spark, path, self._zones_path(path))
         return path, rows, rows * 8 * len(FATO_VENDAS.columns)
 
     def _hot(self, dims: dict[str, Sized], fact_path: str) -> dict[str, dict[int, float]]:
@@ -257,7 +281,7 @@ class Warehouse:
             r.path for r in manifest.filter(F.col("load").isin(numbers)).select("path").collect()
         }
         gone = []
-        for name in TABLES:
+        for name in [*TABLES, "zones"]:
             for path in list_folders(self.spark, f"{self.root}/{name}"):
                 if path.rsplit("/", 1)[-1] not in {k.rsplit("/", 1)[-1] for k in kept}:
                     delete_file(self.spark, path)
