@@ -15,7 +15,8 @@ from vendaflow.operators.joins import Sized
 from vendaflow.operators.quality import quality_report, rejected_by_column
 from vendaflow.operators.staging import MARGIN, PROBLEMS, stage
 from vendaflow.plans import reports, views
-from vendaflow.plans.star import Filters
+from vendaflow.plans.star import Filters, distinct
+from vendaflow.plans.summaries import SummaryStar, build
 from vendaflow.plans.warehouse import LoadSummary, Warehouse
 from vendaflow.schema import (
     DIM_CLIENTE, DIM_ENVIO, DIM_LOCALIZACAO, DIM_PRODUTO, DIM_TEMPO, HEADERS, TABLES,
@@ -30,8 +31,8 @@ try:
     import corpus_pipeline
     from vendaflow.llm import queries as llm_queries
 except ModuleNotFoundError as missing:
-    # Only the optional subpackage itself may be missing.
-    if missing.name not in ("corpus_pipeline", "vendaflow.llm"):
+    # The subpackage, or a library that only it needs, may be missing; a module of its own may not.
+    if missing.name.startswith("vendaflow.") and missing.name != "vendaflow.llm":
         raise
     llm_queries = None
 
@@ -48,6 +49,7 @@ CHOSEN = Filters(
 _flat: dict[tuple[str, str], DataFrame] = {}
 _loaded: dict[tuple[str, str], Warehouse] = {}
 _summaries: dict[tuple[str, str], LoadSummary] = {}
+_summed: dict[tuple[str, str], SummaryStar] = {}
 _published: dict[str, str] = {}  # session -> folder its catalog shows
 EXTRA = ("l_returnflag", "l_linestatus")
 
@@ -87,6 +89,25 @@ def on_star(report: Callable, *args, **options) -> Query:
     return lambda spark, sf: plain(report(warehouse(spark, sf).star(), *args, **options))
 
 
+def summed(spark: SparkSession, sf_dir: str) -> SummaryStar:
+    """The warehouse of sf_dir with its stored summaries, built once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _summed:
+        build(warehouse(spark, sf_dir))
+        _summed[key] = SummaryStar(warehouse(spark, sf_dir))
+    return _summed[key]
+
+
+def on_summaries(report: Callable, *args) -> Query:
+    return lambda spark, sf: plain(report(summed(spark, sf), *args))
+
+
+def distinct_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders and customers of each state, region and in all, merged upwards from bitmaps."""
+    counts = [distinct("order_id", "pedidos"), distinct("sk_cliente", "clientes")]
+    return plain(summed(spark, sf).distinct_rollup(["regiao", "estado"], counts))
+
+
 def table(name: str, *dropped: str) -> Query:
     return lambda spark, sf: plain(warehouse(spark, sf).star().table(name).drop(*dropped))
 
@@ -474,6 +495,16 @@ def queries() -> dict[str, Query]:
         "tab_mensal_filtered": on_star(reports.mensal, CHOSEN),
         "filter_options": filter_options,
         "quality_report": quality,
+        "resumo_vw_vendas_lucro_estado": on_summaries(reports.vendas_lucro_estado),
+        "resumo_vw_habitos_compra_segmento": on_summaries(reports.habitos_compra_segmento),
+        "resumo_tab_estados": on_summaries(reports.estados),
+        "resumo_tab_habitos": on_summaries(reports.habitos),
+        "resumo_tab_estados_filtered": on_summaries(reports.estados, CHOSEN),
+        "resumo_tab_subcategorias": on_summaries(reports.subcategorias),
+        "resumo_tab_mensal_filtered": on_summaries(reports.mensal, CHOSEN),
+        "resumo_kpi_filtered": on_summaries(reports.kpi, CHOSEN),
+        "resumo_modo_envio_rollup": on_summaries(reports.modo_envio_rollup),
+        "resumo_distinct_rollup": distinct_rollup,
         "sql_params": on_sql(SQL_PARAMS, regiao="EUROPE", ano=1997),
     }
     for name, report in reports.VIEWS.items():

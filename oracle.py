@@ -451,6 +451,13 @@ SOURCE_TOTALS = _report(
      f"CAST(sum({ROW_MARGIN}::DECIMAL(8,4)) AS DOUBLE) AS margins"])
 
 
+SUMMARISED = [
+    "vw_vendas_lucro_estado", "vw_habitos_compra_segmento", "tab_estados", "tab_habitos",
+    "tab_estados_filtered", "tab_subcategorias", "tab_mensal_filtered", "kpi_filtered",
+    "modo_envio_rollup",
+]
+
+
 def oracles() -> dict[str, str]:
     queries = {
         "staging_clean": _on_sales(
@@ -553,4 +560,11 @@ def oracles() -> dict[str, str]:
         queries["filter_options"], "valor", "PARTITION BY tipo")
     queries.update(VIEW_ORACLES)
     queries.update({f"sql_{name}": text for name, text in VIEW_ORACLES.items()})
+    # The same questions answered from stored summaries.
+    queries.update({f"resumo_{name}": queries[name] for name in SUMMARISED})
+    queries["resumo_distinct_rollup"] = _on_sales("""
+        SELECT region AS regiao, state AS estado,
+               CAST(grouping(region, state) AS BIGINT) AS nivel,
+               count(DISTINCT order_id) AS pedidos, count(DISTINCT customer_id) AS clientes
+        FROM sales GROUP BY ROLLUP (region, state)""")
     return queries

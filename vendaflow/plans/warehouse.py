@@ -281,7 +281,7 @@ class Warehouse:
             r.path for r in manifest.filter(F.col("load").isin(numbers)).select("path").collect()
         }
         gone = []
-        for name in [*TABLES, "zones"]:
+        for name in [*TABLES, "zones", "summaries"]:
             for path in list_folders(self.spark, f"{self.root}/{name}"):
                 if path.rsplit("/", 1)[-1] not in {k.rsplit("/", 1)[-1] for k in kept}:
                     delete_file(self.spark, path)
