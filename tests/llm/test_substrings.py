@@ -156,3 +156,14 @@ def test_induced_order_finds_repeats():
         assert found == wanted
 
 
+
+
+def test_many_equal_rows(spark):
+    """The work of N equal rows is for N, not for its square: their spans are one list."""
+    text = " ".join(f"w{i * 7919 % 1000}" for i in range(250))
+    docs = frame(spark, [(None if i % 2 else 7, text) for i in range(4000)] + [(1, "x " + text)])
+    found = suffixes.remove_repeats(docs, window=200).selectExpr("n_bytes - n_removed AS left").groupBy("left").count()
+    assert {r["left"]: r["count"] for r in found.collect()} == {0: 4000, 2: 1}
+    found = substrings.remove_repeats(docs, window=20).groupBy("doc_id", "n_removed").count()
+    # Null ids come first and stay; the other rows have an earlier one.
+    assert {tuple(r) for r in found.collect()} == {(None, 0, 2000), (7, 250, 2000), (1, 250, 1)}

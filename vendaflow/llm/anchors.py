@@ -249,7 +249,8 @@ def with_texts(
             )
 
     fields = [c for c in rows.columns if c not in ("doc", "tag")]
-    lists = rows.groupBy("doc", "tag").agg(F.collect_list(F.struct(*fields)).alias("rows"))
+    # A set: rows with equal doc and text share one list, which is no longer for their number.
+    lists = rows.groupBy("doc", "tag").agg(F.collect_set(F.struct(*fields)).alias("rows"))
     texts = keyed(docs, *others).select("doc", "tag", "others", "text")
     packed_schema = T.StructType([*texts.schema.fields[:3], T.StructField("packed", T.BinaryType())])
     packed = texts.mapInArrow(pack, packed_schema)
