@@ -37,6 +37,8 @@ class MergeVocabulary:
     def __init__(self, path: str):
         lib = self.library = sentencepiece.SentencePieceProcessor(model_file=path)
         self.pieces = [lib.id_to_piece(i) for i in range(lib.get_piece_size())]
+        self.shown = [piece.replace(SPACE, " ") for piece in self.pieces]
+        self.printed = [str(i) for i in range(len(self.pieces))]
         whole = range(len(self.pieces))
         self.byte_of = {i: int(self.pieces[i][1:-1], 16) for i in whole if lib.is_byte(i)}
         self.bytes = {b: i for i, b in self.byte_of.items()}
@@ -61,7 +63,7 @@ class MergeVocabulary:
         self.recent: dict[str, str] = {}
         self.older: dict[str, str] = {}
         self.altered: dict[str, str] = {}  # segments that do not decode to themselves
-        self.unchecked: list[tuple[str, list[int]]] = []
+        self.unchecked: list[tuple[str, list[int], str]] = []  # segment, ids, decoded
 
     def merge(self, segment: str) -> list[int]:
         """Ids of one segment, whose spaces are already SPACE."""
@@ -69,7 +71,10 @@ class MergeVocabulary:
             symbols = self.scan(segment)
         else:
             symbols = self.agenda(segment)
-        ids: list[int] = []
+        ids = list(map(self.id_of.get, symbols))
+        if None not in ids:
+            return ids
+        ids = []
         for symbol in symbols:
             found = self.id_of.get(symbol)
             if found is not None:
@@ -83,9 +88,10 @@ class MergeVocabulary:
     def scan(self, segment: str) -> list[str]:
         """Merged symbols of a short segment: its agenda is a list searched for the best pair."""
         place = self.place.get
-        symbols = list(segment)
-        agenda = [place(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]
-        while agenda:
+        symbols = [*segment, ""]  # the empty symbol at the end makes no pair
+        agenda = [place(segment[i : i + 2], NEVER) for i in range(len(segment) - 1)]
+        agenda.append(NEVER)
+        while True:
             best = min(agenda)
             if best == NEVER:
                 break
@@ -93,10 +99,11 @@ class MergeVocabulary:
             joined = symbols[i] + symbols.pop(i + 1)
             symbols[i] = joined
             del agenda[i]
-            if i < len(agenda):
-                agenda[i] = place(joined + symbols[i + 1], NEVER)
+            after = symbols[i + 1]
+            agenda[i] = place(joined + after, NEVER) if after else NEVER
             if i:
                 agenda[i - 1] = place(symbols[i - 1] + joined, NEVER)
+        symbols.pop()
         return symbols
 
     def agenda(self, segment: str) -> list[str]:
@@ -137,7 +144,7 @@ class MergeVocabulary:
     def decode(self, ids: list[int]) -> str:
         """Text of the ids; the space that encoding puts in front of a text stays."""
         if self.byte_of.keys().isdisjoint(ids):
-            return "".join([self.pieces[i] for i in ids]).replace(SPACE, " ")
+            return "".join([self.shown[i] for i in ids])
         out: list[str] = []
         run = bytearray()
         for i in [*ids, None]:
@@ -148,7 +155,7 @@ class MergeVocabulary:
                 out.append(run.decode(errors="replace"))
                 run = bytearray()
             if i is not None:
-                out.append(self.pieces[i].replace(SPACE, " "))
+                out.append(self.shown[i])
         return "".join(out)
 
     def remembered(self, key: str) -> str:
@@ -157,13 +164,13 @@ class MergeVocabulary:
         if found is None:
             segment = key if not self.words or key[0] == "\n" or SPACE in key else SPACE + key
             ids = self.merge(segment)
-            self.unchecked.append((segment, ids))
+            back = self.decode(ids)
+            self.unchecked.append((segment, ids, back))
             if len(self.unchecked) >= CHECKED:
                 self.check()
-            back = self.decode(ids)
             if back != segment.replace(SPACE, " "):
                 self.altered[key] = back
-            found = ",".join(map(str, ids))
+            found = ",".join([self.printed[i] for i in ids])
         if len(key) <= LONGEST_CACHED:
             if len(self.recent) >= CACHED:
                 self.older, self.recent = self.recent, {}
@@ -174,20 +181,21 @@ class MergeVocabulary:
         """Compare new segments with the library, which puts a space before each text itself
         and takes it away when it decodes."""
         new, self.unchecked = self.unchecked, []
-        spaced = [(s, ids) for s, ids in new if s[0] == SPACE and len(s) > 1]
-        others = [(s, ids) for s, ids in new if s[0] != SPACE and self.bytes]
+        spaced = [row for row in new if row[0][0] == SPACE and len(row[0]) > 1]
+        others = [row for row in new if row[0][0] != SPACE and self.bytes]
         for had, texts, skipped in (
-            (spaced, [s[1:] for s, _ in spaced], 0),
-            (others, ["\n" + s for s, _ in others], 2),  # the space and the line end
+            (spaced, [row[0][1:] for row in spaced], 0),
+            (others, ["\n" + row[0] for row in others], 2),  # the space and the line end
         ):
-            for (segment, ids), expected in zip(had, self.library.encode(texts, num_threads=1)):
+            for (segment, ids, _), expected in zip(had, self.library.encode(texts, num_threads=1)):
                 if expected[skipped:] != ids:
                     raise ValueError(f"encoding of {segment[:40]!r} differs from the library's")
-        decoded = self.library.decode([ids for _, ids in new], num_threads=1) if new else []
-        for (segment, ids), expected in zip(new, decoded):
-            back = self.decode(ids)
-            if expected != (back[1:] if segment[0] == SPACE else back):
-                raise ValueError(f"decoding of {segment[:40]!r} differs from the library's")
+        if new:
+            # Segments hold whole characters, so they decode one behind the other as each alone.
+            back = "".join([text for _, _, text in new])
+            whole = self.library.decode([i for _, ids, _ in new for i in ids])
+            if whole != (back[1:] if new[0][0][0] == SPACE else back):
+                raise ValueError(f"decoding of {len(new)} segments differs from the library's")
 
     def encode(self, text: str) -> tuple[str, int, str]:
         """(ids joined by commas, number of ids, decoded text)."""
