@@ -270,7 +270,7 @@ class Warehouse:
         """Remove the files of all but the newest `keep` loads, and of loads never published.
 
         Not while a load is running, nor while someone reads a load that goes. Returns the
-        folders that were removed.
+        tables' folders that were removed; the ranges and summaries of a load go with it.
         """
         log = f"{self.root}/loads"
         if keep < 1 or not path_exists(self.spark, log):
@@ -285,7 +285,8 @@ class Warehouse:
             for path in list_folders(self.spark, f"{self.root}/{name}"):
                 if path.rsplit("/", 1)[-1] not in {k.rsplit("/", 1)[-1] for k in kept}:
                     delete_file(self.spark, path)
-                    gone.append(path)
+                    if name in TABLES:
+                        gone.append(path)
         return gone
 
 
