@@ -144,33 +144,15 @@ def test_catalog(spark, empty):
     assert len(spark.catalog.listTables("dw_test")) == 12
 
 
-def test_overlapping_loads(spark, empty, monkeypatch):
-    """The second of two loads on the same tables fails, and no member is lost."""
-    empty.load(sales(spark, {}, {"product_id": "P2"}))
-    second = Warehouse(spark, empty.root)
-    publish = Warehouse._publish
-
-    def late(self, *args):
-        monkeypatch.setattr(Warehouse, "_publish", publish)
-        second.load(sales(spark, {"product_id": "PB"}))
-        publish(self, *args)
-
-    monkeypatch.setattr(Warehouse, "_publish", late)
-    with pytest.raises(LoadError, match="load again"):
-        empty.load(sales(spark, {"product_id": "PA"}))
-    found = rows(empty.star().table("dim_produto"), "sk_produto", "product_id")
-    assert found == {(1, "P1"), (2, "P2"), (3, "PB")}
-    empty.load(sales(spark, {"product_id": "PA"}))
-    found = rows(empty.star().table("dim_produto"), "sk_produto", "product_id")
-    assert found == {(1, "P1"), (2, "P2"), (3, "PB"), (4, "PA")}
-
-
 def test_a_claim_left_behind_is_released(spark, empty, monkeypatch):
     empty.load(sales(spark, {}))
+    empty.patience = 2
     with monkeypatch.context() as broken:
         broken.setattr(spark, "createDataFrame", None)
         with pytest.raises(TypeError):
             empty._publish({}, "x", 2)
+    with pytest.raises(LoadError, match="may be alive"):
+        empty.release()
     source = sales(spark, {}, {})
     with pytest.raises(LoadError, match="load again"):
         empty.load(source)

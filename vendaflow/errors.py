@@ -11,3 +11,7 @@ class SourceError(SalesError):
 
 class LoadError(SalesError):
     """The data breaks a rule of the warehouse; nothing was published."""
+
+
+class Overtaken(LoadError):
+    """Another load was published, or is being published, in the place meant for this one."""

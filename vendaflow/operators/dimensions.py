@@ -126,8 +126,13 @@ def _joined(existing: DataFrame, incoming: DataFrame, table: Table) -> DataFrame
     return existing.sparkSession.read.schema(both.schema).parquet(path)
 
 
+def overwrites(table: Table) -> bool:
+    """Whether a load overwrites the attributes of known members."""
+    return bool(table.attributes) and table is not DIM_TEMPO
+
+
 def merge(existing: DataFrame | None, staged: DataFrame, table: Table) -> DataFrame:
     """The dimension after a load of `staged`, by the rule that holds for the table."""
     incoming = members(staged, table)
-    rule = upsert_type1 if table.attributes and table is not DIM_TEMPO else insert_absent
+    rule = upsert_type1 if overwrites(table) else insert_absent
     return rule(existing, incoming, table)

@@ -2,24 +2,29 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 
-from vendaflow.errors import LoadError
+from vendaflow.errors import LoadError, Overtaken
 from vendaflow.operators.dimensions import first_seen, merge
 from vendaflow.operators.fact import FOREIGN_KEYS, build_fact, number_sales
 from vendaflow.operators.joins import BROADCAST_BYTES, Sized, hot_keys, row_bytes
 from vendaflow.operators.staging import PROBLEMS, stage, unfit
 from vendaflow.plans.layout import (
-    FILE_ROWS, Zones, carried, clustered, with_places, write_zones,
+    FILE_ROWS, Zones, carried, clustered, stored_schema, with_places, write_zones,
 )
+from vendaflow.plans.rebase import OLD, new_keys, rebased, relabel
 from vendaflow.plans.star import Star
 from vendaflow.schema import DIM_CLIENTE, DIM_PRODUTO, DIMENSIONS, FATO_VENDAS, ROLES, TABLES, Table
-from vendaflow.session import create_file, delete_file, list_folders, path_exists, scratch_path
+from vendaflow.session import (
+    create_file, delete_file, file_age, list_folders, path_exists, scratch_path,
+)
 
+PATIENCE = 120  # seconds from the claim of a load's number to its publication, a small file later
 MANIFEST = (
     "load bigint, id string, name string, path string, rows bigint, bytes bigint, "
     "hot map<bigint, double>"
@@ -48,11 +53,13 @@ class Warehouse:
         root: str,
         broadcast_bytes: int = BROADCAST_BYTES,
         file_rows: int = FILE_ROWS,
+        patience: float = PATIENCE,
     ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.limit = broadcast_bytes
         self.file_rows = file_rows
+        self.patience = patience
         self._known_zones: dict[str, Zones] = {}
         self.staged: DataFrame | None = None  # the good rows of the last load by this object
 
@@ -120,6 +127,10 @@ class Warehouse:
     def load(self, source: DataFrame, strict: bool = True) -> LoadSummary:
         """Merge the dimensions, replace the fact, publish both together.
 
+        If another load was published meanwhile, this one is moved onto it: members of both
+        stay, and the fact and the attributes are those of the later, as if the loads had
+        run in turn.
+
         Strict: any unfit row stops the load. Otherwise unfit rows go to the folder
         `rejected` and the rest is loaded.
         """
@@ -157,12 +168,78 @@ class Warehouse:
         years = -(-dims["dim_tempo"].rows // 366)
         fact = clustered(fact, extracted, years, self.file_rows)
         written["fato_vendas"] = self._write_fact(fact, load_id)
-        self._publish(written, load_id, number, self._hot(dims, written["fato_vendas"][0]))
+        while not self._published(written, load_id, number):
+            newer = self._newer(number)
+            written, load_id = self._rebase(written, published, newer)
+            published, number = newer, newer[0].load + 1
         return LoadSummary(
             extracted, written["fato_vendas"][1], rejected,
             {n: rows for n, (_, rows, _) in written.items() if n != "fato_vendas"},
         )
 
+    def _published(
+        self, written: dict[str, tuple[str, int, int]], load_id: str, number: int
+    ) -> bool:
+        dims = {t.name: Sized(None, *written[t.name][1:]) for t in DIMENSIONS}
+        try:
+            self._publish(written, load_id, number, self._hot(dims, written["fato_vendas"][0]))
+        except Overtaken:
+            return False
+        return True
+
+    def _newer(self, number: int) -> list[Row]:
+        """The newest load, once it is `number` or later."""
+        end = time.monotonic() + self.patience
+        while True:
+            found = self.entries()
+            if found and found[0].load >= number:
+                return found
+            if time.monotonic() > end:
+                raise LoadError(
+                    f"load {number} was claimed but not published within {self.patience} s; "
+                    "if it has died, release it, then load again"
+                )
+            time.sleep(min(1.0, self.patience))
+
+    def _rebase(
+        self, written: dict[str, tuple[str, int, int]], base: list[Row], newer: list[Row]
+    ) -> tuple[dict[str, tuple[str, int, int]], str]:
+        """The tables of a load built on `base`, moved onto the `newer` load.
+
+        The source is not read again, and the fact is written again only if a key in it
+        changes. What the load wrote before is left to `vacuum`.
+        """
+        load_id = uuid.uuid4().hex
+        last = {e["name"]: e.rows for e in base}  # keys are dense, so this is the last one, too
+        theirs = self._sized(newer)
+        path, rows, size = written[FATO_VENDAS.name]
+        fact = self.spark.read.schema(stored_schema()).parquet(path)
+
+        def move(table: Table) -> tuple[tuple[str, int, int], Sized]:
+            mine, common = self._read(table.name, written[table.name][0]), last.get(table.name, 0)
+            found = new_keys(mine, theirs[table.name], table, common)
+            seen, place = Observation(), scratch_path(self.spark, f"rebase-{table.name}")
+            changed = F.col(OLD) != F.col(table.key)
+            found.observe(seen, F.count_if(changed).alias("moved")).write.parquet(place)
+            settled = self.spark.read.schema(found.schema).parquet(place)
+            moved = settled.filter(changed).select(OLD, table.key)
+            after = rebased(mine, theirs[table.name], settled, fact, table, common)
+            each = 8 * (len(moved.columns) + 3)
+            return (
+                self._write(after, table.name, load_id),
+                Sized(moved, seen.get["moved"], seen.get["moved"] * each),
+            )
+
+        with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
+            results = dict(zip((t.name for t in DIMENSIONS), pool.map(move, DIMENSIONS)))
+        after = {name: entry for name, (entry, _) in results.items()}
+        moved = {name: keys for name, (_, keys) in results.items() if keys.rows}
+        after[FATO_VENDAS.name] = (
+            self._write_fact(relabel(fact, moved, self.limit), load_id)
+            if moved and rows else (path, rows, size)
+        )
+        return after, load_id
+
     def _without_unfit_members(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         """The rows whose product and customer can be described, and the others.
 
@@ -245,14 +322,12 @@ class Warehouse:
         """Append one file that names all tables of the load.
 
         `number` follows the load that this one was built on. It is claimed by a file that
-        can be created only once, so that of two loads built on the same tables one fails
-        instead of hiding the other's members. A claim whose load died before it published
-        is released with `release`.
+        can be created only once, so that of two loads built on the same tables one is
+        overtaken instead of hiding the other's members. A claim whose load died before it
+        published is released with `release`.
         """
         if not create_file(self.spark, f"{self.root}/claims/{number}"):
-            raise LoadError(
-                f"load {number} is being or has been published by someone else; load again"
-            )
+            raise Overtaken(f"load {number} is being or has been published by someone else; load again")
         lines = [
             (number, load_id, n, p, rows, size, (hot or {}).get(n, {}))
             for n, (p, rows, size) in written.items()
@@ -260,11 +335,17 @@ class Warehouse:
         entries = self.spark.createDataFrame(lines, MANIFEST)
         entries.coalesce(1).write.mode("append").parquet(f"{self.root}/loads")
 
-
     def release(self) -> None:
-        """Give up claims of loads that were never published, after a crash in between."""
+        """Give up the claim of a load that was never published, after a crash in between.
+
+        A claim younger than `patience` may belong to a load that is about to publish.
+        """
         number = max((e.load for e in self.entries()), default=0) + 1
-        delete_file(self.spark, f"{self.root}/claims/{number}")
+        claim = f"{self.root}/claims/{number}"
+        age = file_age(self.spark, claim)
+        if age is not None and age < self.patience:
+            raise LoadError(f"load {number} was claimed {age:.0f} s ago and may be alive")
+        delete_file(self.spark, claim)
 
     def vacuum(self, keep: int = 2) -> list[str]:
         """Remove the files of all but the newest `keep` loads, and of loads never published.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -69,6 +70,14 @@ def delete_file(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
+def file_age(spark: SparkSession, path: str) -> float | None:
+    """Seconds since a file was written, None if it is not there."""
+    target, files = _file_system(spark, path)
+    if not files.exists(target):
+        return None
+    return time.time() - files.getFileStatus(target).getModificationTime() / 1000
+
+
 def list_folders(spark: SparkSession, path: str) -> list[str]:
     """Full paths of the folders in a folder; none if it does not exist."""
     target, files = _file_system(spark, path)
