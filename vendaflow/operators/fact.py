@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Row, functions as F
 
 from vendaflow.errors import LoadError
 from vendaflow.operators.joins import Sized, hot_keys, same_key, spread_join
+from vendaflow.operators.lookup import Wanted, stacked_lookup
 from vendaflow.operators.numbering import number_rows
 from vendaflow.schema import FATO_VENDAS, ROLES
 
@@ -97,17 +98,25 @@ def build_fact(
     limit: int,
     carried: Mapping[str, Sequence[str]] = {},
 ) -> DataFrame:
-    """Fact rows with all six keys looked up; small dimensions first, then large ones.
+    """Fact rows with all six keys looked up; large dimensions first, then those broadcast, which
+    add to the rows without a shuffle.
 
     `carried`: by role, columns of the dimension that come with its key."""
     sized = {role: dims[ROLES[role].table.name] for role in LOOKUP}
     large = [role for role in LOOKUP if not sized[role].fits(limit)]
-    if large:
-        hot = hot_keys(numbered, *[LOOKUP[role] for role in large])
-        sized.update({r: replace(sized[r], hot=h) for r, h in zip(large, hot)})
     rows = numbered
-    for role in [*(r for r in LOOKUP if r not in large), *large]:
-        rows = look_up(rows, role, sized[role], limit, carried.get(role, ()))
+    if len(large) > 1:
+        wanted = [
+            Wanted(ROLES[r], LOOKUP[r], sized[r].df, tuple(carried.get(r, ()))) for r in large
+        ]
+        rows = stacked_lookup(rows, wanted, "sk_venda")
+    elif large:
+        (hot,) = hot_keys(numbered, LOOKUP[large[0]])
+        one = replace(sized[large[0]], hot=hot)
+        rows = look_up(rows, large[0], one, limit, carried.get(large[0], ()))
+    for role in LOOKUP:
+        if role not in large:
+            rows = look_up(rows, role, sized[role], limit, carried.get(role, ()))
     values = {
         "vendas": F.col("sales"),
         "quantidade": F.col("quantity"),
