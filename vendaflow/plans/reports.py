@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from vendaflow.functions.measures import weighted_mean
 from vendaflow.functions.text import currency, percent, thousands
+from vendaflow.plans.ranking import contenders
 from vendaflow.plans.star import (
     Filters, SharedStar, Star, distinct, margin, ticket, total, total_or_zero,
 )
@@ -145,9 +146,11 @@ def subcategorias_ranked(
 PRODUCT = ["nome_produto", "categoria", "subcategoria"]
 
 
+PRODUCT_SUMS = [total("vendas", "receita"), total("lucro", "lucro"), margin("margem")]
+
+
 def _produtos(star: Source, filters: Filters) -> DataFrame:
-    sums = [total("vendas", "receita"), total("lucro", "lucro"), margin("margem")]
-    return star.aggregate(PRODUCT, sums, filters)
+    return star.aggregate(PRODUCT, PRODUCT_SUMS, filters)
 
 
 def produtos(star: Source, filters: Filters = ALL) -> DataFrame:
@@ -158,8 +161,12 @@ def produtos(star: Source, filters: Filters = ALL) -> DataFrame:
 def produtos_ranked(
     star: Source, filters: Filters = ALL, count: int = 15, best: bool = True
 ) -> DataFrame:
-    """Highest or lowest profit."""
-    return _ranked(_produtos(star, filters), "lucro", PRODUCT, count, best)
+    """Highest or lowest profit. Of products too many to broadcast, only those are named whose
+    lines can be among the first."""
+    rows = None
+    if isinstance(star, Star):
+        rows = contenders(star, "produto", PRODUCT, PRODUCT_SUMS, "lucro", filters, count, best)
+    return _ranked(_produtos(star, filters) if rows is None else rows, "lucro", PRODUCT, count, best)
 
 
 def _estados(star: Source, filters: Filters) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -94,10 +94,17 @@ def _sum(column: str) -> Column:
 class Star:
     """The loaded tables, and aggregation over them."""
 
-    def __init__(self, tables: dict[str, Sized], limit: int, zones: Zones | None = None):
+    def __init__(
+        self,
+        tables: dict[str, Sized],
+        limit: int,
+        zones: Zones | None = None,
+        namesakes: Mapping[str, int] = {},
+    ):
         self.tables = tables
         self.limit = limit
         self.zones = zones
+        self.namesakes = namesakes  # by table, the most members of one name; large tables only
 
     def table(self, name: str) -> DataFrame:
         return self.tables[name].df

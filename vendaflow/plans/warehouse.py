@@ -17,6 +17,7 @@ from vendaflow.operators.staging import PROBLEMS, stage, unfit
 from vendaflow.plans.layout import (
     FILE_ROWS, Zones, carried, clustered, stored_schema, with_places, write_zones,
 )
+from vendaflow.plans.ranking import most_namesakes
 from vendaflow.plans.rebase import OLD, new_keys, rebased, relabel
 from vendaflow.plans.star import Star
 from vendaflow.schema import DIM_CLIENTE, DIM_PRODUTO, DIMENSIONS, FATO_VENDAS, ROLES, TABLES, Table
@@ -90,7 +91,27 @@ class Warehouse:
         entries = self.entries()
         if not entries:
             raise LoadError(f"nothing has been loaded into {self.root}")
-        return Star(self._sized(entries), self.limit, self._zones(entries[-1].path))
+        zones = self._zones(entries[-1].path)
+        return Star(self._sized(entries), self.limit, zones, self._namesakes(entries))
+
+    def _namesakes(self, entries: list[Row]) -> dict[str, int]:
+        """The most products of one name, where the load counted them."""
+        found = {}
+        for e in entries:
+            path = self._namesakes_path(e.path)
+            if e["name"] == DIM_PRODUTO.name and e.bytes > self.limit and path_exists(self.spark, path):
+                found[e["name"]] = self.spark.read.schema("most bigint").parquet(path).first()["most"]
+        return found
+
+    def _namesakes_path(self, path: str) -> str:
+        return f"{self.root}/namesakes/{path.rsplit('/', 1)[-1]}"
+
+    def _count_namesakes(self, path: str, size: int) -> None:
+        """Kept beside products that reports cannot broadcast, for their rankings."""
+        if size > self.limit:
+            most = most_namesakes(self._read(DIM_PRODUTO.name, path), DIM_PRODUTO.attributes)
+            counted = self.spark.createDataFrame([(most,)], "most bigint").coalesce(1)
+            counted.write.mode("overwrite").parquet(self._namesakes_path(path))
 
     def _zones(self, fact_path: str) -> Zones | None:
         """The ranges of the fact's files; None for a load that has none."""
@@ -181,6 +202,8 @@ class Warehouse:
         self, written: dict[str, tuple[str, int, int]], load_id: str, number: int
     ) -> bool:
         dims = {t.name: Sized(None, *written[t.name][1:]) for t in DIMENSIONS}
+        path, _, size = written[DIM_PRODUTO.name]
+        self._count_namesakes(path, size)
         try:
             self._publish(written, load_id, number, self._hot(dims, written["fato_vendas"][0]))
         except Overtaken:
@@ -351,7 +374,7 @@ class Warehouse:
         """Remove the files of all but the newest `keep` loads, and of loads never published.
 
         Not while a load is running, nor while someone reads a load that goes. Returns the
-        tables' folders that were removed; the ranges and summaries of a load go with it.
+        tables' folders that were removed; the ranges, summaries and counts of a load go with it.
         """
         log = f"{self.root}/loads"
         if keep < 1 or not path_exists(self.spark, log):
@@ -362,7 +385,7 @@ class Warehouse:
             r.path for r in manifest.filter(F.col("load").isin(numbers)).select("path").collect()
         }
         gone = []
-        for name in [*TABLES, "zones", "summaries"]:
+        for name in [*TABLES, "zones", "summaries", "namesakes"]:
             for path in list_folders(self.spark, f"{self.root}/{name}"):
                 if path.rsplit("/", 1)[-1] not in {k.rsplit("/", 1)[-1] for k in kept}:
                     delete_file(self.spark, path)
