@@ -8,10 +8,10 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, Row, functions as F
 
 from vendaflow.errors import LoadError
-from vendaflow.operators.joins import Sized, hot_keys, same_key, spread_join
+from vendaflow.operators.joins import Sized, hot_keys, measure, same_key, spread_join
 from vendaflow.operators.lookup import Wanted, stacked_lookup
 from vendaflow.operators.numbering import number_rows
-from vendaflow.schema import FATO_VENDAS, ROLES
+from vendaflow.schema import FATO_VENDAS, ROLES, Role
 
 # Role -> staged columns that hold the natural key, in the order of the dimension's key.
 LOOKUP = {
@@ -92,31 +92,42 @@ def look_up(
     return joined.drop(*[b for _, b in pairs])
 
 
+def _as_looked_up(role: Role, dim: Sized, limit: int, carried: Sequence[str]) -> Sized:
+    """The dimension with the size of the columns that its lookup needs; descriptions stay behind."""
+    if dim.fits(limit):
+        return dim
+    keys = dim.df.select(*role.table.natural, role.table.key, *carried)
+    return replace(dim, bytes=min(dim.bytes, measure(keys, dim.rows, limit).bytes))
+
+
 def build_fact(
     numbered: DataFrame,
     dims: dict[str, Sized],
     limit: int,
     carried: Mapping[str, Sequence[str]] = {},
 ) -> DataFrame:
-    """Fact rows with all six keys looked up; large dimensions first, then those broadcast, which
-    add to the rows without a shuffle.
+    """Fact rows with all six keys looked up; first in the dimensions that can be broadcast, so
+    that short keys stand for their texts when rows are shuffled to the large ones.
 
     `carried`: by role, columns of the dimension that come with its key."""
-    sized = {role: dims[ROLES[role].table.name] for role in LOOKUP}
+    sized = {
+        role: _as_looked_up(ROLES[role], dims[ROLES[role].table.name], limit, carried.get(role, ()))
+        for role in LOOKUP
+    }
     large = [role for role in LOOKUP if not sized[role].fits(limit)]
     rows = numbered
+    for role in LOOKUP:
+        if role not in large:
+            rows = look_up(rows, role, sized[role], limit, carried.get(role, ()))
     if len(large) > 1:
         wanted = [
             Wanted(ROLES[r], LOOKUP[r], sized[r].df, tuple(carried.get(r, ()))) for r in large
         ]
-        rows = stacked_lookup(rows, wanted, "sk_venda")
+        rows = stacked_lookup(rows, wanted, "sk_venda", numbered)
     elif large:
         (hot,) = hot_keys(numbered, LOOKUP[large[0]])
         one = replace(sized[large[0]], hot=hot)
         rows = look_up(rows, large[0], one, limit, carried.get(large[0], ()))
-    for role in LOOKUP:
-        if role not in large:
-            rows = look_up(rows, role, sized[role], limit, carried.get(role, ()))
     values = {
         "vendas": F.col("sales"),
         "quantidade": F.col("quantity"),

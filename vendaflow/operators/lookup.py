@@ -76,16 +76,18 @@ def members(wanted: Sequence[Wanted]) -> DataFrame:
     return all_of_them.withColumn("_m_mark", key_hash(F.col("_m_table"), F.col("_m_parts")))
 
 
-def stacked_lookup(rows: DataFrame, wanted: Sequence[Wanted], row_key: str) -> DataFrame:
+def stacked_lookup(
+    rows: DataFrame, wanted: Sequence[Wanted], row_key: str, source: DataFrame | None = None
+) -> DataFrame:
     """Add each role's foreign key and the carried columns; NULL where no member has the key.
 
     Every row's keys go under each other, with the row's number and nothing else, through one
     shuffle to the members, which lie under each other, too. What is found is gathered by row
     number and joined back: however many dimensions there are, whole rows are shuffled once.
     Frequent keys are spread as in a join of one dimension. `row_key`: a long, different in
-    every row.
+    every row. `source`: the same rows before columns were added, to read the keys from.
     """
-    asked, known = probes(rows, wanted, row_key), members(wanted)
+    asked, known = probes(rows if source is None else source, wanted, row_key), members(wanted)
     (hot,) = hot_keys(asked, PROBE)
     pairs = [(c, f"_m{c}") for c in PROBE]
     found = spread_join(asked, known, pairs, "inner", hot, [row_key, "_role"])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from vendaflow.session import scratch_path
+from vendaflow.session import COMPRESSION, scratch_path
 
 # monotonically_increasing_id() holds the partition above this bit and the row below it.
 _ROW_BITS = 33
@@ -24,7 +24,7 @@ def number_rows(df: DataFrame, order: list[str], name: str, start: int = 0) -> D
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_slot", F.monotonically_increasing_id())
-        .write.parquet(path)
+        .write.parquet(path, compression=COMPRESSION)
     )
     schema = T.StructType([*df.schema.fields, T.StructField("_slot", T.LongType())])
     placed = spark.read.schema(schema).parquet(path).withColumn(

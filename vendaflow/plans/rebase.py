@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from vendaflow.operators.dimensions import overwrites
 from vendaflow.operators.joins import Sized, hot_keys, same_key, spread_join
 from vendaflow.operators.numbering import number_rows
-from vendaflow.plans.layout import STORED
+from vendaflow.plans.layout import CLUSTERED, STORED
 from vendaflow.schema import ROLES, Table
 
 OLD = "_old"
@@ -89,6 +89,7 @@ def relabel(fact: DataFrame, moved: Mapping[str, Sized], limit: int) -> DataFram
             joined = fact.join(F.broadcast(keys), same_key(fact, keys, pairs, False), "left")
         settled = F.coalesce(F.col("_to"), F.col(role.foreign_key))
         fact = joined.withColumn(role.foreign_key, settled).drop("_from", "_to")
+    along = [STORED[name] for name in CLUSTERED]
     if large:
-        fact = fact.hint("rebalance", "ano_pedido", *STORED.values())
-    return fact.sortWithinPartitions("ano_pedido", *STORED.values(), "order_id")
+        fact = fact.hint("rebalance", "ano_pedido", *along)
+    return fact.sortWithinPartitions("ano_pedido", *along, "order_id")

@@ -117,6 +117,15 @@ class Star:
     def _small(self, role: str) -> bool:
         return self.tables[ROLES[role].table.name].fits(self.limit)
 
+    def _stored(self, by: Sequence[str], chosen: Mapping[str, list]) -> list[str]:
+        """Attributes read from the fact's own files: of dimensions too large to broadcast of which
+        nothing else is named."""
+        if not self.zones:
+            return []
+        names = list(dict.fromkeys([*by, *chosen]))
+        joined = {ATTRIBUTES[n][0] for n in names if n not in self.zones.stored}
+        return [n for n in names if ATTRIBUTES[n][0] not in joined and not self._small(ATTRIBUTES[n][0])]
+
     def _join(
         self, rows: DataFrame, role_name: str, names: Sequence[str], chosen, by: Sequence[str]
     ) -> DataFrame:
@@ -144,10 +153,11 @@ class Star:
         pairs = [(role.foreign_key, key)]
         return spread_join(rows, members, pairs, "inner", dim.hot, by).drop(key)
 
-    def fact(self, filters: Filters) -> DataFrame:
-        """The fact; a choice of years prunes its partitions, one of members its files."""
-        if self.zones and filters.chosen():
-            return self.zones.read(filters.chosen(), filters.anos)
+    def fact(self, filters: Filters, stored: Sequence[str] = ()) -> DataFrame:
+        """The fact, with the named attributes that its files hold; a choice of years prunes its
+        partitions, one of members its files."""
+        if self.zones and (stored or filters.chosen()):
+            return self.zones.read(filters.chosen(), filters.anos, stored)
         rows = self.table("fato_vendas")
         if filters.anos:
             rows = rows.filter(F.col("ano_pedido").isin(list(filters.anos)))
@@ -155,8 +165,10 @@ class Star:
 
     def lines(self, names: Sequence[str], filters: Filters = Filters()) -> DataFrame:
         """Fact rows with the named attributes."""
-        rows, chosen = self.fact(filters), filters.chosen()
-        for role in self._roles([*names, *chosen]):
+        chosen = filters.chosen()
+        stored = self._stored(names, chosen)
+        rows = self.fact(filters, stored)
+        for role in self._roles([n for n in [*names, *chosen] if n not in stored]):
             rows = self._join(rows, role, names, chosen, ["row_id"])
         return rows
 
@@ -164,16 +176,18 @@ class Star:
         self, by: Sequence[str], measures: Sequence[Measure], filters: Filters = Filters()
     ) -> DataFrame:
         """Group by attributes. Dimensions too large to broadcast are joined after the fact
-        has been summed per key, so no hot key crosses the network row by row."""
+        has been summed per key, so no hot key crosses the network row by row. Attributes that the
+        fact's files hold need no join."""
         chosen = filters.chosen()
-        rows = self.fact(filters).withColumn("linhas", F.lit(1))
-        roles = self._roles([*by, *chosen])
+        stored = self._stored(by, chosen)
+        rows = self.fact(filters, stored).withColumn("linhas", F.lit(1))
+        roles = self._roles([n for n in [*by, *chosen] if n not in stored])
         small = [r for r in roles if self._small(r)]
         large = [r for r in roles if not self._small(r)]
         for role in small:
             rows = self._join(rows, role, by, chosen, [])
         if large:
-            kept = [n for n in by if ATTRIBUTES[n][0] in small]
+            kept = [n for n in by if n in stored or ATTRIBUTES[n][0] in small]
             keys = [ROLES[r].foreign_key for r in large]
             counted = [m.counted for m in measures if m.counted]
             groups = list(dict.fromkeys([*kept, *keys, *counted]))

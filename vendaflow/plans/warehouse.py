@@ -15,14 +15,14 @@ from vendaflow.operators.fact import FOREIGN_KEYS, build_fact, number_sales
 from vendaflow.operators.joins import BROADCAST_BYTES, Sized, hot_keys, row_bytes
 from vendaflow.operators.staging import PROBLEMS, stage, unfit
 from vendaflow.plans.layout import (
-    FILE_ROWS, Zones, carried, clustered, stored_schema, with_places, write_zones,
+    FILE_ROWS, Zones, axes, carried, clustered, stored_schema, with_places, write_zones,
 )
 from vendaflow.plans.ranking import most_namesakes
 from vendaflow.plans.rebase import OLD, new_keys, rebased, relabel
 from vendaflow.plans.star import Star
 from vendaflow.schema import DIM_CLIENTE, DIM_PRODUTO, DIMENSIONS, FATO_VENDAS, ROLES, TABLES, Table
 from vendaflow.session import (
-    create_file, delete_file, file_age, list_folders, path_exists, scratch_path,
+    COMPRESSION, create_file, delete_file, file_age, list_folders, path_exists, scratch_path,
 )
 
 PATIENCE = 120  # seconds from the claim of a load's number to its publication, a small file later
@@ -187,7 +187,7 @@ class Warehouse:
         dims = {n: Sized(self._read(n, p), rows, size) for n, (p, rows, size) in written.items()}
         fact = build_fact(numbered, with_places(dims), self.limit, carried())
         years = -(-dims["dim_tempo"].rows // 366)
-        fact = clustered(fact, extracted, years, self.file_rows)
+        fact = clustered(fact, axes(dims), extracted, years, self.file_rows)
         written["fato_vendas"] = self._write_fact(fact, load_id)
         while not self._published(written, load_id, number):
             newer = self._newer(number)
@@ -293,7 +293,7 @@ class Warehouse:
         staged.observe(
             seen, F.count("*").alias("rows"), F.count(PROBLEMS).alias("odd"),
             F.count_if(unfit(F.col(PROBLEMS))).alias("unfit"),
-        ).write.parquet(path)
+        ).write.parquet(path, compression=COMPRESSION)
         rows, odd, bad = seen.get["rows"], seen.get["odd"], seen.get["unfit"]
         return self.spark.read.schema(staged.schema).parquet(path), rows, bad, odd - bad
 
@@ -301,7 +301,7 @@ class Warehouse:
         path = f"{self.root}/{name}/{load_id}"
         seen = Observation()
         size = F.coalesce(F.sum(row_bytes(df.schema)), F.lit(0))
-        df.observe(seen, F.count("*").alias("rows"), size.alias("bytes")).write.parquet(path)
+        df.observe(seen, F.count("*").alias("rows"), size.alias("bytes")).write.parquet(path, compression=COMPRESSION)
         return path, seen.get["rows"], seen.get["bytes"]
 
     def _write_fact(self, fact: DataFrame, load_id: str) -> tuple[str, int, int]:
@@ -313,7 +313,7 @@ class Warehouse:
             fact.observe(seen, F.count("*").alias("rows"), *misses)
             .write.option("maxRecordsPerFile", self.file_rows)
             .partitionBy("ano_pedido")
-            .parquet(path)
+            .parquet(path, compression=COMPRESSION)
         )
         missing = {k: seen.get[k] for k in FOREIGN_KEYS if seen.get[k]}
         if missing:
