@@ -11,10 +11,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from vendaflow.errors import LoadError
 from vendaflow.operators.joins import same_key
+from vendaflow.operators.numbering import number_rows
 from vendaflow.plans.star import SUMMED, Filters, Measure, Star, total
 from vendaflow.plans.warehouse import Warehouse
 from vendaflow.session import path_exists
@@ -75,22 +76,25 @@ def _folder(house: Warehouse) -> str:
 def _bits(star: Star, summary: Summary) -> DataFrame:
     """(keys, counted, bucket, bits): which keys occur in each group, 32,768 to a row.
 
-    An order is named by its first sale, so that order keys are as dense as sales are and the
-    orders of a month lie together. Rows are made distinct first: what is sent on is at most a
-    row per order, or customer, and group, and a hot order has as many rows as groups.
+    Orders, and customers, are numbered by the first group that they occur in: the keys of a group
+    lie together, so that bitmaps are full, and their number is that of keys over 32,768 and that
+    of groups that share keys, not that of groups times buckets. Rows are made distinct first:
+    what is sent on is at most a row per order, or customer, and group, and a hot order has as many
+    rows as groups. A bitmap is built where its keys meet; keys are shuffled, bitmaps are not.
     """
     lines = star.lines(summary.keys)
     parts = []
     for column in summary.counted:
-        per_group = lines.groupBy(*summary.keys, column).agg(F.min("sk_venda").alias("key"))
-        if column == "order_id":
-            named = per_group.withColumn("key", F.min("key").over(W.partitionBy("order_id")))
-        else:
-            named = per_group.withColumn("key", F.col(column))
-        parts.append(named.select(*summary.keys, F.lit(column).alias("counted"), "key"))
+        per_group = lines.select(*summary.keys, column).distinct()
+        groups = F.array_sort(F.collect_list(F.struct(*summary.keys))).alias("_groups")
+        keys = per_group.groupBy(column).agg(groups).withColumn("_first", F.col("_groups")[0])
+        numbered = number_rows(keys, ["_first", column], "key")
+        parts.append(numbered.select(F.inline("_groups"), F.lit(column).alias("counted"), "key"))
     rows = reduce(DataFrame.unionByName, parts)
-    groups = [*summary.keys, "counted", F.bitmap_bucket_number("key").alias("bucket")]
-    return rows.groupBy(*groups).agg(F.bitmap_construct_agg(F.bitmap_bit_position("key")).alias("bits"))
+    rows = rows.withColumn("bucket", F.bitmap_bucket_number("key"))
+    groups = [*summary.keys, "counted", "bucket"]
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position("key")).alias("bits")
+    return rows.repartition(*groups).groupBy(*groups).agg(bits)
 
 
 class SummaryStar(Star):
