@@ -52,6 +52,7 @@ _summaries: dict[tuple[str, str], LoadSummary] = {}
 _summed: dict[tuple[str, str], SummaryStar] = {}
 _published: dict[str, str] = {}  # session -> folder its catalog shows
 EXTRA = ("l_returnflag", "l_linestatus")
+PACKED = {"compression": "gzip"}  # of text files; each is as long as the task that writes it
 
 
 def flat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,7 +166,7 @@ def csv_source(language: int, date_format: str) -> Query:
         path = scratch_path(spark, "csv")
         flat(spark, sf).select(
             *[t.alias(names[language]) for t, names in zip(texts, HEADERS.values())]
-        ).write.options(header=True, escape='"').csv(path)
+        ).write.options(**PACKED, header=True, escape='"').csv(path)
         return source_totals(read_csv(spark, path))
 
     return run
@@ -178,7 +179,7 @@ def mixed_source(spark: SparkSession, sf: str) -> DataFrame:
         names = list(HEADERS.values())[:: -1 if odd else 1]
         flat(spark, sf).filter(F.col("Row ID") % 2 == odd).select(
             *[F.col(n[0]).alias(n[language]) for n in names]
-        ).write.mode("append").options(header=True, escape='"').csv(path)
+        ).write.mode("append").options(**PACKED, header=True, escape='"').csv(path)
     return source_totals(read_csv(spark, path))
 
 
@@ -194,7 +195,7 @@ def malformed_source(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "csv")
     # One column whose name is the header line; nothing is quoted.
     flat(spark, sf).select(line.alias(",".join(names))).write.options(
-        header=True, sep="\u0001", quote="", escapeQuotes=False
+        **PACKED, header=True, sep="\u0001", quote="", escapeQuotes=False
     ).csv(path)
     return plain(rejected_by_column(stage(read_csv(spark, path)).filter(F.col(PROBLEMS).isNotNull())))
 
@@ -366,7 +367,7 @@ def gates(spark: SparkSession, sf: str) -> DataFrame:
     fact = build_fact(number_sales(staged(spark, sf)), dims, house.limit)
     found.append(("unknown members", str(fact.filter("sk_produto IS NULL").count())))
     folder = scratch_path(spark, "inbox")
-    rows.drop(*EXTRA).write.option("header", True).csv(f"{folder}/second.csv")
+    rows.drop(*EXTRA).write.options(**PACKED, header=True).csv(f"{folder}/second.csv")
     path = find_source(spark, folder, ["first.csv", "second.csv", "third.csv"])
     found.append(("source found", path.rpartition("/")[2]))
     new = Warehouse(spark, scratch_path(spark, "warehouse"))

@@ -2,15 +2,19 @@
 
 from dataclasses import replace
 
+import __spark_entry__ as entry
+from conftest import SF
 from test_lookup import wide_exchanges
 from test_star import plan, same
 
 from vendaflow.operators.fact import build_fact, number_sales
 from vendaflow.operators.joins import measure
+from vendaflow.operators.numbering import number_rows
 from vendaflow.operators.staging import PROBLEMS, stage
 from vendaflow.plans import reports
 from vendaflow.plans.layout import carried, with_places
 from vendaflow.plans.star import Filters, Star
+from vendaflow.session import list_files, shared_folder
 from vendaflow.sources.tables import flat_sales
 
 
@@ -46,3 +50,16 @@ def test_descriptions_do_not_make_a_lookup_large(spark, conf, house):
     assert wide_exchanges(small.withColumnRenamed("vendas", "sales")) == 0
     same(small.drop(*sum(carried().values(), [])), none.drop(*sum(carried().values(), [])))
     assert "SortMergeJoin" in plan(none) and "SortMergeJoin" not in plan(small)
+
+
+def test_columns_that_only_order_are_not_written(spark):
+    rows = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b")], "k long, v string")
+    found = number_rows(rows, ["k"], "n", kept=["v"])
+    assert found.columns == ["v", "n"]
+    assert sorted(map(tuple, found.collect())) == [("a", 1), ("b", 2), ("c", 3)]
+
+
+def test_flat_files_are_packed(spark):
+    entry.queries()["source_csv_english"](spark, SF)
+    files = list_files(spark, f"{shared_folder(spark)}/vendaflow/*/csv-*")
+    assert files and all(f.endswith(".csv.gz") for f in files)

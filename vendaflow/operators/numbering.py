@@ -10,23 +10,27 @@ from vendaflow.session import COMPRESSION, scratch_path
 _ROW_BITS = 33
 
 
-def number_rows(df: DataFrame, order: list[str], name: str, start: int = 0) -> DataFrame:
+def number_rows(
+    df: DataFrame, order: list[str], name: str, start: int = 0, kept: list[str] | None = None
+) -> DataFrame:
     """Add `name`: start+1, start+2, ... in the order of the `order` columns.
 
     Rows are range-partitioned and sorted, then written once to the shared folder with
     their partition and place in it, so the numbers cannot change when a task is run
     again. Only the row counts of the partitions meet in one place. `order` must tell
-    any two rows apart, or the order among equal rows is open.
+    any two rows apart, or the order among equal rows is open. `kept`: the columns to return, if
+    others serve the order only and need not be written.
     """
     spark = df.sparkSession
+    kept = df.columns if kept is None else kept
     path = scratch_path(spark, f"number-{name}")
     (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .withColumn("_slot", F.monotonically_increasing_id())
+        .select(*kept, F.monotonically_increasing_id().alias("_slot"))
         .write.parquet(path, compression=COMPRESSION)
     )
-    schema = T.StructType([*df.schema.fields, T.StructField("_slot", T.LongType())])
+    schema = T.StructType([*[df.schema[c] for c in kept], T.StructField("_slot", T.LongType())])
     placed = spark.read.schema(schema).parquet(path).withColumn(
         "_part", F.shiftright("_slot", _ROW_BITS)
     )
@@ -40,5 +44,5 @@ def number_rows(df: DataFrame, order: list[str], name: str, start: int = 0) -> D
     place = F.col("_slot").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     number = F.col("_before") + place + F.lit(start + 1).cast("bigint")
     return placed.join(F.broadcast(offsets), "_part").select(
-        *df.columns, number.alias(name)
+        *kept, number.alias(name)
     )

@@ -14,12 +14,15 @@ LINE_ORDER = [
     "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate",
     "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
 ]
+# Of these, what a sale is made of; the others only order.
+SOLD = ["l_orderkey", "l_partkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_discount"]
 
 
-def numbered_lines(spark: SparkSession, folder: str) -> DataFrame:
+def numbered_lines(spark: SparkSession, folder: str, extra: tuple[str, ...] = ()) -> DataFrame:
     lines = spark.read.parquet(f"{folder}/lineitem.parquet").select(*LINE_ORDER)
     placed = lines.withColumn("_pos", F.monotonically_increasing_id())
-    return number_rows(placed, [*LINE_ORDER, "_pos"], "row_id").drop("_pos")
+    kept = list(dict.fromkeys([*SOLD, *extra]))
+    return number_rows(placed, [*LINE_ORDER, "_pos"], "row_id", kept=kept)
 
 
 def flat_sales(spark: SparkSession, folder: str, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -46,7 +49,7 @@ def flat_sales(spark: SparkSession, folder: str, extra: tuple[str, ...] = ()) ->
     orders = read("orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     part = read("part", "p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
 
-    lines = numbered_lines(spark, folder)
+    lines = numbered_lines(spark, folder, extra)
     places = join(
         nation, nation, "n_regionkey", region, region.count(), "r_regionkey", "n_nationkey"
     )
