@@ -13,7 +13,7 @@ from vendaflow.operators.numbering import number_rows
 from vendaflow.operators.staging import PROBLEMS, stage
 from vendaflow.plans import reports
 from vendaflow.plans.layout import carried, with_places
-from vendaflow.plans.star import Filters, Star
+from vendaflow.plans.star import COUNTED_ROWS, SUMMED, Filters, Star, distinct, grouped, total
 from vendaflow.session import list_files, shared_folder
 from vendaflow.sources.tables import flat_sales
 
@@ -63,3 +63,29 @@ def test_flat_files_are_packed(spark):
     entry.queries()["source_csv_english"](spark, SF)
     files = list_files(spark, f"{shared_folder(spark)}/vendaflow/*/csv-*")
     assert files and all(f.endswith(".csv.gz") for f in files)
+
+
+def test_distinct_counts_hold_a_bounded_number_of_sales(conf, house):
+    conf(spark__sql__adaptive__enabled="false")
+    star = house.star()
+    fact = replace(star.tables["fato_vendas"], rows=6 * COUNTED_ROWS + 1)
+    many = Star({**star.tables, "fato_vendas": fact}, star.limit, star.zones)
+    for report in (reports.habitos, reports.habitos_compra_segmento, reports.estados):
+        same(report(star), report(many))
+        text = report(many)._jdf.queryExecution().executedPlan().toString()
+        first, *dealt = text.split("REPARTITION_BY_NUM")
+        assert first.rpartition("\n")[2].count(", 7)") == 1 and len(dealt) == (1 if report is reports.estados else 2)
+        for below in dealt:  # nothing is gathered before the sales are dealt
+            scan = below.partition("FileScan")[0]
+            assert "Aggregate" not in scan and "Expand" not in scan
+
+
+def test_counts_of_parts_add_up(spark):
+    schema = "g string, order_id string, sk_cliente long, vendas decimal(12,2), lucro decimal(12,2), quantidade int, linhas int"
+    values = [("a", "1", 1), ("a", "1", 2), ("a", None, 2), ("a", "3", None), (None, "1", 1), (None, "1", 1), ("b", None, None)]
+    df = spark.createDataFrame([(*v, None, None, 2, 1) for v in values], schema)
+    measures = [distinct("sk_cliente", "c"), distinct("order_id", "o"), total("quantidade", "q"), total("vendas", "v")]
+    for rows in (df, df.limit(0)):
+        for by in (["g"], []):
+            same(grouped(rows, by, measures, 3), rows.groupBy(*by).agg(*[m.column for m in measures]))
+    assert set(SUMMED) < set(df.columns)
