@@ -1,5 +1,8 @@
 import datetime as dt
+import io
+import zipfile
 from decimal import Decimal
+from xml.etree import ElementTree as ET
 
 import pytest
 from data import BASE, rows, sales
@@ -10,8 +13,9 @@ from vendaflow.operators.staging import stage
 from vendaflow.plans.warehouse import Warehouse
 from vendaflow.schema import CANONICAL, HEADERS
 from vendaflow.sources.files import find_source, read_csv, read_source
+from vendaflow.sources import xlsx
 from vendaflow.sources.jdbc import postgres_options
-from vendaflow.sources.workbooks import workbook
+from vendaflow.sources.workbooks import SHEET, pack_workbooks, workbook
 from vendaflow.sources.xlsx import read_xlsx
 
 
@@ -172,3 +176,70 @@ def test_reports_are_written_and_printed_whole(spark, tmp_path, capsys):
     capsys.readouterr()
     assert main(["report", "--root", root, "produtos"]) == 0
     assert len(capsys.readouterr().out.splitlines()) == 1202
+
+
+MAIN = f'xmlns="{SHEET}"'
+SHEETS = {
+    "placed": f'<?xml version="1.0" encoding="UTF-8" standalone="yes"?>\n<worksheet {MAIN} xmlns:x="y"><cols><col min="1"/></cols>'
+    '<sheetData><row r="1" spans="1:3" x:d="0.2"><c r="A1" s="1" t="s"><v>1</v></c><c r="AB1"><v>2.50</v></c></row>'
+    '<row r="3"/><row r="4"><c r="C4" s="1"><v>42736</v></c><c t="n"><v>7</v></c><c r="E4" t="e"><v>#N/A</v></c></row></sheetData></worksheet>',
+    "odd cells": f'<worksheet {MAIN}><sheetData>\n <row>\n <c t="s" s="0"><v>0</v></c> <c><f>1+1</f><v>2</v></c> </row>\n'
+    '<row><c t="inlineStr"><is><t>a&amp;b</t></is></c><c t="str"><v>x &lt; y</v></c><c t="str"><v>é&#10;</v></c></row>'
+    '<row></row><row/><row r="9"><c/><c t="b"><v>1</v></c><c t="str"><v>]]</v></c><c t="str"><v></v></c></row></sheetData></worksheet>',
+    "comment": f'<worksheet {MAIN}><sheetData><row><c><v>1</v></c></row><!-- <row><c><v>8</v></c></row> --><row><c><v>2</v></c></row></sheetData></worksheet>',
+    "literal": f'<worksheet {MAIN}><sheetData><row><c><v>1</v></c></row><row><c t="str"><v><![CDATA[</row>]]></v></c></row></sheetData></worksheet>',
+    "prefix": f'<m:worksheet xmlns:m="{SHEET}"><m:sheetData><m:row><m:c><m:v>3</m:v></m:c></m:row></m:sheetData></m:worksheet>',
+    "foreign": f'<worksheet {MAIN}><sheetData><row><c><v>1</v></c></row><row xmlns="z"><c><v>2</v></c></row></sheetData></worksheet>',
+    "empty": f'<worksheet {MAIN}><sheetData/></worksheet>',
+    "latin": f'<?xml version="1.0" encoding="ISO-8859-1"?><worksheet {MAIN}><sheetData><row><c t="str"><v>Ação</v></c></row></sheetData></worksheet>',
+}
+
+
+@pytest.mark.parametrize("size", [7, 100, 1 << 20])
+@pytest.mark.parametrize("name", SHEETS)
+def test_cut_rows_are_the_parser_s(monkeypatch, name, size):
+    monkeypatch.setattr(xlsx, "READ_BYTES", size)
+    monkeypatch.setattr(xlsx, "KNOWN_CELLS", 2)
+    content = SHEETS[name].encode("latin-1" if name == "latin" else "utf-8")
+    rest = (["zero", "one"], {1}, xlsx.EPOCH_1900)
+    expected = list(xlsx._parsed_rows(io.BytesIO(content), *rest))
+    assert list(xlsx._rows(lambda: io.BytesIO(content), *rest)) == expected
+    assert name == "empty" or any(expected)
+    with pytest.raises(ET.ParseError):
+        list(xlsx._rows(lambda: io.BytesIO(content[:-20]), *rest))
+
+
+def test_plain_workbooks_are_cut_at_their_tags(spark, tmp_path, monkeypatch):
+    for name in ("_parsed_rows", "_row"):
+        monkeypatch.setattr(xlsx, name, lambda *_: pytest.fail("the XML parser was asked"))
+    content = workbook(ENGLISH, [cells(row_id=i, product_name="a\tb", postal_code=None) for i in range(25_000)])
+    batches = list(xlsx._workbook("a.xlsx", content))
+    assert [b.num_rows for b in batches] == [10_000, 10_000, 5_000]
+    assert batches[2].to_pylist()[-1] == {
+        **BASE, "row_id": "24999", "product_name": "a\tb", "postal_code": None, "order_date": "2017-01-01 00:00:00",
+        "ship_date": "2016-02-29 00:00:00", "sales": "957.5775", "discount": "0.2", "profit": "-3.5",
+    }
+
+
+def test_shared_texts():
+    items = '<si><t>a</t></si><si><t xml:space="preserve"> b\n</t></si><si><r><t>c</t></r><r><t>&lt;d</t></r><rPh><t>x</t></rPh></si><si><t/></si>'
+    for text in (f"<sst {MAIN}>{items}</sst>", f"<sst {MAIN}>{items}<!-- --></sst>", f"\n<sst count='4' {MAIN}>\n{items}\n</sst>\n"):
+        with zipfile.ZipFile(io.BytesIO(), "w") as book:
+            book.writestr("xl/sharedStrings.xml", text)
+            assert xlsx._shared_texts(book) == ["a", " b\n", "c<d", ""]
+
+
+def test_packed_rows_come_back(spark):
+    values = [
+        (1, "a & <b>", dt.date(1996, 2, 29), Decimal("-3.5000"), None), (2, None, None, None, 7),
+        (-3, " a", dt.date(1899, 12, 31), Decimal("0.0001"), 0),
+    ]
+    names = ["Row ID", "Order ID", "Order Date", "Sales", "Quantity"]
+    others = [n for n in ENGLISH if n not in names]
+    df = spark.createDataFrame(values, "`Row ID` long, `Order ID` string, `Order Date` date, Sales decimal(12,4), Quantity int")
+    df = df.selectExpr("*", *[f"'x' AS `{n}`" for n in others])
+    found = xlsx.parse_workbooks(pack_workbooks(df)).select("row_id", "order_id", "order_date", "sales", "quantity", "city")
+    assert set(map(tuple, found.collect())) == {
+        ("1", "a & <b>", "1996-02-29 00:00:00", "-3.5", None, "x"), ("2", None, None, None, "7", "x"),
+        ("-3", " a", "1899-12-31 00:00:00", "0.0001", "0", "x"),
+    }

@@ -5,14 +5,16 @@ from __future__ import annotations
 import datetime as dt
 import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from decimal import Decimal
 from xml.sax.saxutils import escape
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 ROWS_PER_BOOK = 20_000
+EPOCH_DAYS = (dt.date(1970, 1, 1) - dt.date(1899, 12, 30)).days  # the format counts from there
 NAMESPACE = "http://schemas.openxmlformats.org"
 SHEET = f"{NAMESPACE}/spreadsheetml/2006/main"
 OFFICE = f"{NAMESPACE}/officeDocument/2006/relationships"
@@ -34,20 +36,45 @@ PARTS = {
 
 def pack_workbooks(flat: DataFrame) -> DataFrame:
     """(path, content) rows, one workbook per 20,000 rows of a partition."""
-    return flat.mapInPandas(_pack, "path string, content binary")
+    return flat.mapInArrow(_pack, "path string, content binary")
 
 
-def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for start in range(0, len(batch), ROWS_PER_BOOK):
-            rows = batch.iloc[start : start + ROWS_PER_BOOK]
-            content = workbook(list(rows.columns), rows.itertuples(index=False))
-            yield pd.DataFrame({"path": ["memory.xlsx"], "content": [content]})
+        for start in range(0, batch.num_rows, ROWS_PER_BOOK):
+            content = _packed(batch.slice(start, ROWS_PER_BOOK))
+            yield pa.record_batch({"path": ["memory.xlsx"], "content": pa.array([content], pa.binary())})
+
+
+def _packed(rows: pa.RecordBatch) -> bytes:
+    """The workbook of a batch, a column of cells at a time."""
+    texts: dict[str, int] = {}
+    header = _line(rows.schema.names, texts)
+    shared, columns = list(texts), []
+    for column in rows.columns:
+        opening = "<c><v>"
+        if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+            column = column.dictionary_encode()
+            numbers = pc.add(column.indices.cast(pa.int64()), len(shared))
+            shared += column.dictionary.to_pylist()
+            opening = '<c t="s"><v>'
+        elif pa.types.is_date32(column.type):
+            numbers = pc.add(column.cast(pa.int32()).cast(pa.int64()), EPOCH_DAYS)
+            opening = '<c s="1"><v>'
+        else:
+            numbers = column if pa.types.is_decimal(column.type) else column.cast(pa.int64())
+        cells = pc.binary_join_element_wise(opening, numbers.cast(pa.string()), "</v></c>", "")
+        columns.append(cells.fill_null("<c/>"))
+    lines = pc.binary_join_element_wise("<row>", *columns, "</row>", "")
+    return _book([header, *lines.to_pylist()], shared)
 
 
 def workbook(header: list[str], rows) -> bytes:
     texts: dict[str, int] = {}
-    lines = [_line(header, texts), *(_line(r, texts) for r in rows)]
+    return _book([_line(header, texts), *(_line(r, texts) for r in rows)], texts)
+
+
+def _book(lines: list[str], texts: Iterable[str]) -> bytes:
     shared = "".join(f'<si><t xml:space="preserve">{escape(t)}</t></si>' for t in texts)
     parts = {
         **PARTS,
@@ -68,7 +95,7 @@ def _line(values, texts: dict[str, int]) -> str:
 
 
 def _cell(value, texts: dict[str, int]) -> str:
-    if value is None or value is pd.NaT or value != value:
+    if value is None or value != value:
         return "<c/>"
     if isinstance(value, str):
         return f'<c t="s"><v>{texts.setdefault(value, len(texts))}</v></c>'
