@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import io
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from decimal import Decimal
 from xml.sax.saxutils import escape
 
@@ -18,6 +18,7 @@ EPOCH_DAYS = (dt.date(1970, 1, 1) - dt.date(1899, 12, 30)).days  # the format co
 NAMESPACE = "http://schemas.openxmlformats.org"
 SHEET = f"{NAMESPACE}/spreadsheetml/2006/main"
 OFFICE = f"{NAMESPACE}/officeDocument/2006/relationships"
+ITEM = '<si><t xml:space="preserve">'
 PARTS = {
     "xl/workbook.xml": (
         f'<workbook xmlns="{SHEET}" xmlns:r="{OFFICE}"><sheets>'
@@ -50,13 +51,13 @@ def _packed(rows: pa.RecordBatch) -> bytes:
     """The workbook of a batch, a column of cells at a time."""
     texts: dict[str, int] = {}
     header = _line(rows.schema.names, texts)
-    shared, columns = list(texts), []
+    shared, columns = [pa.array(texts, pa.string())], []
     for column in rows.columns:
         opening = "<c><v>"
         if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
             column = column.dictionary_encode()
-            numbers = pc.add(column.indices.cast(pa.int64()), len(shared))
-            shared += column.dictionary.to_pylist()
+            numbers = pc.add(column.indices.cast(pa.int64()), sum(map(len, shared)))
+            shared.append(column.dictionary.cast(pa.string()))
             opening = '<c t="s"><v>'
         elif pa.types.is_date32(column.type):
             numbers = pc.add(column.cast(pa.int32()).cast(pa.int64()), EPOCH_DAYS)
@@ -66,21 +67,29 @@ def _packed(rows: pa.RecordBatch) -> bytes:
         cells = pc.binary_join_element_wise(opening, numbers.cast(pa.string()), "</v></c>", "")
         columns.append(cells.fill_null("<c/>"))
     lines = pc.binary_join_element_wise("<row>", *columns, "</row>", "")
-    return _book([header, *lines.to_pylist()], shared)
+    listed = pa.concat_arrays(shared)
+    for plain, escaped in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        listed = pc.replace_substring(listed, plain, escaped)
+    listed = pc.binary_join_element_wise(ITEM, listed, "</t></si>", "")
+    return _book(header + _joined(lines), _joined(listed))
+
+
+def _joined(texts: pa.Array) -> str:
+    return pc.binary_join(pa.ListArray.from_arrays([0, len(texts)], texts), "")[0].as_py()
 
 
 def workbook(header: list[str], rows) -> bytes:
     texts: dict[str, int] = {}
-    return _book([_line(header, texts), *(_line(r, texts) for r in rows)], texts)
+    lines = [_line(header, texts), *(_line(r, texts) for r in rows)]
+    return _book("".join(lines), "".join([f"{ITEM}{escape(t)}</t></si>" for t in texts]))
 
 
-def _book(lines: list[str], texts: Iterable[str]) -> bytes:
-    shared = "".join(f'<si><t xml:space="preserve">{escape(t)}</t></si>' for t in texts)
+def _book(lines: str, shared: str) -> bytes:
     parts = {
         **PARTS,
         "xl/sharedStrings.xml": f'<sst xmlns="{SHEET}">{shared}</sst>',
         "xl/worksheets/sheet1.xml": (
-            f'<worksheet xmlns="{SHEET}"><sheetData>{"".join(lines)}</sheetData></worksheet>'
+            f'<worksheet xmlns="{SHEET}"><sheetData>{lines}</sheetData></worksheet>'
         ),
     }
     target = io.BytesIO()
