@@ -63,7 +63,8 @@ class MergeVocabulary:
         self.recent: dict[str, str] = {}
         self.older: dict[str, str] = {}
         self.altered: dict[str, str] = {}  # segments that do not decode to themselves
-        self.unchecked: list[tuple[str, list[int], str]] = []  # segment, ids, decoded
+        self.unchecked: list[tuple[str, list[int]]] = []  # segment, ids
+        self.decoded: list[str] = []  # the texts of these ids
 
     def merge(self, segment: str) -> list[int]:
         """Ids of one segment, whose spaces are already SPACE."""
@@ -165,7 +166,8 @@ class MergeVocabulary:
             segment = key if not self.words or key[0] == "\n" or SPACE in key else SPACE + key
             ids = self.merge(segment)
             back = self.decode(ids)
-            self.unchecked.append((segment, ids, back))
+            self.unchecked.append((segment, ids))
+            self.decoded.append(back)
             if len(self.unchecked) >= CHECKED:
                 self.check()
             if back != segment.replace(SPACE, " "):
@@ -181,19 +183,20 @@ class MergeVocabulary:
         """Compare new segments with the library, which puts a space before each text itself
         and takes it away when it decodes."""
         new, self.unchecked = self.unchecked, []
+        decoded, self.decoded = self.decoded, []
         spaced = [row for row in new if row[0][0] == SPACE and len(row[0]) > 1]
         others = [row for row in new if row[0][0] != SPACE and self.bytes]
         for had, texts, skipped in (
             (spaced, [row[0][1:] for row in spaced], 0),
             (others, ["\n" + row[0] for row in others], 2),  # the space and the line end
         ):
-            for (segment, ids, _), expected in zip(had, self.library.encode(texts, num_threads=1)):
+            for (segment, ids), expected in zip(had, self.library.encode(texts, num_threads=1)):
                 if expected[skipped:] != ids:
                     raise ValueError(f"encoding of {segment[:40]!r} differs from the library's")
         if new:
             # Segments hold whole characters, so they decode one behind the other as each alone.
-            back = "".join([text for _, _, text in new])
-            whole = self.library.decode([i for _, ids, _ in new for i in ids])
+            back = "".join(decoded)
+            whole = self.library.decode([i for _, ids in new for i in ids])
             if whole != (back[1:] if new[0][0][0] == SPACE else back):
                 raise ValueError(f"decoding of {len(new)} segments differs from the library's")
 
