@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from vendaflow.functions.calendar import calendar
 from vendaflow.operators.joins import same_key
 from vendaflow.operators.numbering import number_rows
-from vendaflow.session import COMPRESSION, scratch_path
+from vendaflow.session import COMPRESSION, scratch_path, writing
 from vendaflow.schema import (
     DIM_CLIENTE, DIM_ENVIO, DIM_LOCALIZACAO, DIM_PRODUTO, DIM_TEMPO, Table,
 )
@@ -122,7 +122,8 @@ def _joined(existing: DataFrame, incoming: DataFrame, table: Table) -> DataFrame
         table.key, *[merged(c) for c in (*table.natural, *table.attributes)], FIRST
     )
     path = scratch_path(existing.sparkSession, f"merge-{table.name}")
-    both.write.parquet(path, compression=COMPRESSION)
+    with writing(existing.sparkSession):
+        both.write.parquet(path, compression=COMPRESSION)
     return existing.sparkSession.read.schema(both.schema).parquet(path)
 
 

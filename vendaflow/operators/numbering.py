@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from vendaflow.session import COMPRESSION, scratch_path
+from vendaflow.session import COMPRESSION, scratch_path, writing
 
 # monotonically_increasing_id() holds the partition above this bit and the row below it.
 _ROW_BITS = 33
@@ -24,12 +24,13 @@ def number_rows(
     spark = df.sparkSession
     kept = df.columns if kept is None else kept
     path = scratch_path(spark, f"number-{name}")
-    (
+    placed = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .select(*kept, F.monotonically_increasing_id().alias("_slot"))
-        .write.parquet(path, compression=COMPRESSION)
     )
+    with writing(spark):
+        placed.write.parquet(path, compression=COMPRESSION)
     schema = T.StructType([*[df.schema[c] for c in kept], T.StructField("_slot", T.LongType())])
     placed = spark.read.schema(schema).parquet(path).withColumn(
         "_part", F.shiftright("_slot", _ROW_BITS)

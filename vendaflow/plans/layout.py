@@ -15,7 +15,9 @@ from functools import cached_property, reduce
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F, types as T
 
 from vendaflow.operators.joins import Sized, same_key
+from vendaflow.operators.packing import Spans, pack, unpack
 from vendaflow.schema import FATO_VENDAS, ROLES
+from vendaflow.session import writing
 
 # Attribute -> role of the dimension that has it.
 CLUSTERED = {"segmento": "cliente", "regiao": "localizacao", "categoria": "produto"}
@@ -96,20 +98,24 @@ def curve() -> Column:
 
 
 def clustered(
-    fact: DataFrame, found: Mapping[str, DataFrame], rows: int, years: int, file_rows: int
+    fact: DataFrame, found: Mapping[str, DataFrame], spans: Spans, rows: int, years: int, file_rows: int
 ) -> DataFrame:
     """The fact dealt to tasks by year and stretch of the curve, and sorted along it.
 
     A stretch is as long as a file of evenly spread sales would be. AQE cuts what is larger and
     merges what is smaller, so this is one shuffle, as it would be without the curve. order_id
     comes next, which keeps orders together. What is shuffled are the numbers of the attributes
-    on the axes in `found`; their texts are set in after it.
+    on the axes in `found`, their texts are set in after it; they and the keys, whose lowest and
+    highest values are in `spans`, travel in few words.
     """
     whole = BITS * len(CLUSTERED)
     files = max(1.0, rows / max(1, years) / file_rows)
     stretch = F.shiftright("_curve", whole - min(whole, math.ceil(math.log2(files))))
     placed = _decoded(fact, found, *STORED.values()).withColumn("_curve", curve())
-    dealt = placed.select(*fact.columns, stretch.alias("_stretch")).hint("rebalance", "ano_pedido", "_stretch")
+    # The year is dealt by, too, beside its place in a word.
+    rows = placed.select(*fact.columns, F.col("ano_pedido").alias("_year"), stretch.alias("_stretch"))
+    slim, packed = pack(rows, spans)
+    dealt = unpack(slim.hint("rebalance", "_year", "_stretch"), packed, spans)
     dealt = _decoded(dealt, found).withColumn("_curve", curve())
     columns = [*FATO_VENDAS.columns, *STORED.values()]
     return dealt.sortWithinPartitions("ano_pedido", "_curve", "order_id").select(*columns)
@@ -126,7 +132,8 @@ def write_zones(spark: SparkSession, fact_path: str, zones_path: str) -> None:
     name = F.concat_ws("/", F.slice(F.split("_metadata.file_path", "/"), -2, 2))
     per_file = files.groupBy(name.alias("file"), "ano_pedido").agg(F.count("*").alias("rows"), *ranges, *sets)
     short = {s: F.when(F.size(s) <= LISTED, F.col(s)) for s in (f"{c}_set" for c in STORED.values())}
-    per_file.withColumns(short).write.parquet(zones_path)
+    with writing(spark):
+        per_file.withColumns(short).write.parquet(zones_path)
 
 
 class Zones:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as
 
 from vendaflow.errors import LoadError, Overtaken
 from vendaflow.operators.dimensions import first_seen, merge
-from vendaflow.operators.fact import FOREIGN_KEYS, build_fact, number_sales
+from vendaflow.operators.fact import FOREIGN_KEYS, build_fact, key_spans, number_sales, value_edges, value_spans
 from vendaflow.operators.joins import BROADCAST_BYTES, Sized, hot_keys, row_bytes
 from vendaflow.operators.staging import PROBLEMS, stage, unfit
 from vendaflow.plans.layout import (
@@ -22,7 +22,7 @@ from vendaflow.plans.rebase import OLD, new_keys, rebased, relabel
 from vendaflow.plans.star import Star
 from vendaflow.schema import DIM_CLIENTE, DIM_PRODUTO, DIMENSIONS, FATO_VENDAS, ROLES, TABLES, Table
 from vendaflow.session import (
-    COMPRESSION, create_file, delete_file, file_age, list_folders, path_exists, scratch_path,
+    COMPRESSION, create_file, delete_file, file_age, list_folders, path_exists, scratch_path, writing,
 )
 
 PATIENCE = 120  # seconds from the claim of a load's number to its publication, a small file later
@@ -156,12 +156,13 @@ class Warehouse:
         `rejected` and the rest is loaded.
         """
         load_id = uuid.uuid4().hex
-        staged, extracted, rejected, undescribed = self._stage(source)
+        staged, extracted, rejected, undescribed, values = self._stage(source)
         good, bad = staged.filter(~unfit(F.col(PROBLEMS))), staged.filter(unfit(F.col(PROBLEMS)))
         if undescribed:
             good, lost = self._without_unfit_members(good)
-            rejected += lost.count()
-            bad = bad.unionByName(lost)
+            if lost is not None:
+                rejected += lost.count()
+                bad = bad.unionByName(lost)
         if rejected:
             if strict:
                 raise LoadError(f"{rejected} unfit rows, for example: {_examples(bad)}")
@@ -185,9 +186,11 @@ class Warehouse:
             numbered = numbering.result()
 
         dims = {n: Sized(self._read(n, p), rows, size) for n, (p, rows, size) in written.items()}
-        fact = build_fact(numbered, with_places(dims), self.limit, carried())
+        placed = with_places(dims)
+        spans = key_spans(placed, carried()) | values
+        fact = build_fact(numbered, placed, self.limit, carried(), spans)
         years = -(-dims["dim_tempo"].rows // 366)
-        fact = clustered(fact, axes(dims), extracted, years, self.file_rows)
+        fact = clustered(fact, axes(dims), spans, extracted, years, self.file_rows)
         written["fato_vendas"] = self._write_fact(fact, load_id)
         while not self._published(written, load_id, number):
             newer = self._newer(number)
@@ -263,58 +266,81 @@ class Warehouse:
         )
         return after, load_id
 
-    def _without_unfit_members(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The rows whose product and customer can be described, and the others.
+    def _without_unfit_members(self, rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+        """The rows whose product and customer can be described, and the others; None if there are none.
 
         A member is described by its first row, so a missing or too long name matters there
-        and nowhere else.
+        and nowhere else. The members that cannot be described are written first: without any,
+        the rows are left as they are; many are taken from the rows once, and not by each
+        step of the load.
         """
         lost = None
         for table, key in ((DIM_PRODUTO, "product_id"), (DIM_CLIENTE, "customer_id")):
             wrong = F.lit(False)
             for c in table.attributes:
                 wrong = wrong | F.col(c).isNull() | (F.length(c) > table.limit(c))
-            keys = first_seen(rows, table).filter(wrong).select(F.col(key).alias(f"_{key}"))
-            match = rows[key] == keys[f"_{key}"]
-            hit = rows.join(keys, match, "left_semi")
-            rows = rows.join(keys, match, "left_anti")
+            unknown = first_seen(rows, table).filter(wrong).select(F.col(key).alias(f"_{key}"))
+            keys = self._kept(unknown, f"undescribed-{table.name}")
+            if not keys.rows:
+                continue
+            side = F.broadcast(keys.df) if keys.fits(self.limit) else keys.df
+            match = rows[key] == side[f"_{key}"]
+            hit = rows.join(side, match, "left_semi")
+            rows = rows.join(side, match, "left_anti")
+            if not keys.fits(self.limit):
+                hit, rows = self._kept(hit, "undescribed").df, self._kept(rows, "described").df
             lost = hit if lost is None else lost.unionByName(hit)
         return rows, lost
 
-    def _stage(self, source: DataFrame) -> tuple[DataFrame, int, int, int]:
+    def _kept(self, df: DataFrame, label: str) -> Sized:
+        """The rows in a scratch folder."""
+        path = scratch_path(self.spark, label)
+        rows, size = self._write_to(path, df)
+        return Sized(self.spark.read.schema(df.schema).parquet(path), rows, size)
+
+    def _stage(self, source: DataFrame) -> tuple[DataFrame, int, int, int, dict[str, tuple[int, int]]]:
         """Parse once into the shared folder; six later steps read only what they need.
 
-        Returns the rows, how many there are, how many are unfit, and how many others lack a
-        description or have one that is too long.
+        Returns the rows, how many there are, how many are unfit, how many others lack a
+        description or have one that is too long, and the lowest and highest of their values.
         """
         staged = stage(source)
         seen = Observation()
         path = scratch_path(self.spark, "staged")
-        staged.observe(
+        counted = staged.observe(
             seen, F.count("*").alias("rows"), F.count(PROBLEMS).alias("odd"),
-            F.count_if(unfit(F.col(PROBLEMS))).alias("unfit"),
-        ).write.parquet(path, compression=COMPRESSION)
+            F.count_if(unfit(F.col(PROBLEMS))).alias("unfit"), *value_edges(staged),
+        )
+        with writing(self.spark):
+            counted.write.parquet(path, compression=COMPRESSION)
         rows, odd, bad = seen.get["rows"], seen.get["odd"], seen.get["unfit"]
-        return self.spark.read.schema(staged.schema).parquet(path), rows, bad, odd - bad
+        found = self.spark.read.schema(staged.schema).parquet(path)
+        return found, rows, bad, odd - bad, value_spans(seen.get)
 
     def _write(self, df: DataFrame, name: str, load_id: str) -> tuple[str, int, int]:
         path = f"{self.root}/{name}/{load_id}"
+        return path, *self._write_to(path, df)
+
+    def _write_to(self, path: str, df: DataFrame) -> tuple[int, int]:
+        """Rows written, and their size in a hash relation."""
         seen = Observation()
         size = F.coalesce(F.sum(row_bytes(df.schema)), F.lit(0))
-        df.observe(seen, F.count("*").alias("rows"), size.alias("bytes")).write.parquet(path, compression=COMPRESSION)
-        return path, seen.get["rows"], seen.get["bytes"]
+        with writing(self.spark):
+            df.observe(seen, F.count("*").alias("rows"), size.alias("bytes")).write.parquet(path, compression=COMPRESSION)
+        return seen.get["rows"], seen.get["bytes"]
 
     def _write_fact(self, fact: DataFrame, load_id: str) -> tuple[str, int, int]:
         """Write by order year; a row without all its keys stops the load unpublished."""
         path = f"{self.root}/{FATO_VENDAS.name}/{load_id}"
         seen = Observation()
         misses = [F.count_if(F.col(k).isNull()).alias(k) for k in FOREIGN_KEYS]
-        (
-            fact.observe(seen, F.count("*").alias("rows"), *misses)
-            .write.option("maxRecordsPerFile", self.file_rows)
-            .partitionBy("ano_pedido")
-            .parquet(path, compression=COMPRESSION)
-        )
+        with writing(self.spark):
+            (
+                fact.observe(seen, F.count("*").alias("rows"), *misses)
+                .write.option("maxRecordsPerFile", self.file_rows)
+                .partitionBy("ano_pedido")
+                .parquet(path, compression=COMPRESSION)
+            )
         missing = {k: seen.get[k] for k in FOREIGN_KEYS if seen.get[k]}
         if missing:
             raise LoadError(f"keys not found in their dimension: {missing}")

@@ -49,7 +49,8 @@ def flat_sales(spark: SparkSession, folder: str, extra: tuple[str, ...] = ()) ->
     orders = read("orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     part = read("part", "p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
 
-    lines = numbered_lines(spark, folder, extra)
+    numbered = numbered_lines(spark, folder, extra)
+    net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     places = join(
         nation, nation, "n_regionkey", region, region.count(), "r_regionkey", "n_nationkey"
     )
@@ -58,11 +59,21 @@ def flat_sales(spark: SparkSession, folder: str, extra: tuple[str, ...] = ()) ->
     )
     bought = join(
         orders, orders, "o_custkey", buyers, customer.count(), "c_custkey", "o_orderkey"
+    ).withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+    # Parts first, since their texts are shorter than those of orders and buyers: lines travel with
+    # them to the orders. What a line says is computed before, so that numbers travel, not their sources.
+    lines = numbered.select(
+        "row_id", "l_orderkey", "l_partkey", F.col("l_shipdate").cast("date").alias("ship_date"), *extra,
+        net.alias("net"), "l_quantity", F.col("l_discount").cast("decimal(6,4)").alias("discount"),
     )
-    sales = join(lines, lines, "l_orderkey", bought, orders.count(), "o_orderkey", "row_id")
-    sales = join(sales, lines, "l_partkey", part, part.count(), "p_partkey", "row_id")
-    net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    sales = join(lines, numbered, "l_partkey", part, part.count(), "p_partkey", "row_id")
     cost = F.col("l_quantity") * F.col("p_retailprice")
+    sales = sales.select(
+        "row_id", "l_orderkey", "p_partkey", "ship_date", *extra, "p_name", "p_brand", "p_type", "discount",
+        F.col("net").cast("decimal(12,4)").alias("sales"), F.col("l_quantity").cast("int").alias("quantity"),
+        (F.col("net") - cost).cast("decimal(12,4)").alias("profit"),
+    )
+    sales = join(sales, numbered, "l_orderkey", bought, orders.count(), "o_orderkey", "row_id")
     tail = F.col("c_custkey") % 10
     dirt = F.col("c_custkey") % 7
     postal = (
@@ -74,8 +85,8 @@ def flat_sales(spark: SparkSession, folder: str, extra: tuple[str, ...] = ()) ->
     columns = {
         "row_id": F.col("row_id"),
         "order_id": F.col("o_orderkey").cast("string"),
-        "order_date": F.col("o_orderdate").cast("date"),
-        "ship_date": F.col("l_shipdate").cast("date"),
+        "order_date": F.col("o_orderdate"),
+        "ship_date": F.col("ship_date"),
         "ship_mode": F.col("o_orderpriority"),
         "customer_id": F.col("c_custkey").cast("string"),
         "customer_name": F.col("c_name"),
@@ -89,9 +100,9 @@ def flat_sales(spark: SparkSession, folder: str, extra: tuple[str, ...] = ()) ->
         "category": F.col("p_type"),
         "sub_category": F.col("p_brand"),
         "product_name": F.col("p_name"),
-        "sales": net.cast("decimal(12,4)"),
-        "quantity": F.col("l_quantity").cast("int"),
-        "discount": F.col("l_discount").cast("decimal(6,4)"),
-        "profit": (net - cost).cast("decimal(12,4)"),
+        "sales": F.col("sales"),
+        "quantity": F.col("quantity"),
+        "discount": F.col("discount"),
+        "profit": F.col("profit"),
     }
     return sales.select(*[e.alias(HEADERS[c][0]) for c, e in columns.items()], *extra)
