@@ -21,7 +21,7 @@ from vendaflow.plans.warehouse import LoadSummary, Warehouse
 from vendaflow.schema import (
     DIM_CLIENTE, DIM_ENVIO, DIM_LOCALIZACAO, DIM_PRODUTO, DIM_TEMPO, HEADERS, TABLES,
 )
-from vendaflow.session import scratch_path
+from vendaflow.session import COMPRESSION, scratch_path, writing
 from vendaflow.sources.files import find_source, read_csv
 from vendaflow.sources.workbooks import pack_workbooks
 from vendaflow.sources.tables import flat_sales
@@ -291,13 +291,17 @@ def second_ship_modes(spark: SparkSession, sf: str) -> DataFrame:
 
 def late_null_names(spark: SparkSession, sf: str) -> DataFrame:
     """Names only on the first row of each product: the load takes them from there."""
-    rows = flat(spark, sf)
+    # Written first, so that what the source shuffles is gone before whole rows meet their product.
+    source, place = flat(spark, sf).drop(*EXTRA), scratch_path(spark, "flat")
+    with writing(spark):
+        source.write.parquet(place, compression=COMPRESSION)
+    rows = spark.read.schema(source.schema).parquet(place)
     first = rows.groupBy(F.col("Product ID").alias("_p")).agg(F.min("Row ID").alias("_row"))
     named = rows.join(first, rows["Product ID"] == first["_p"]).withColumn(
         "Product Name", F.when(F.col("Row ID") == F.col("_row"), F.col("Product Name"))
     )
     house = Warehouse(spark, scratch_path(spark, "warehouse"))
-    house.load(named.drop("_p", "_row", *EXTRA))
+    house.load(named.drop("_p", "_row"))
     return plain(house.star().table("dim_produto"))
 
 
