@@ -10,6 +10,7 @@ from test_star import plan
 from vendaflow.errors import LoadError
 from vendaflow.operators.fact import number_sales
 from vendaflow.operators.staging import DESCRIPTIVE, PROBLEMS, stage
+from vendaflow.plans.summaries import build
 from vendaflow.plans.warehouse import Warehouse
 
 NAMELESS = ({}, {"product_name": None}, {"product_id": "P2", "product_name": None}, {"product_id": "P2"}, {"customer_id": "C9", "customer_name": "x" * 101})
@@ -48,5 +49,8 @@ def shuffle_files(spark):
 def test_a_load_leaves_no_shuffle_files(spark, tmp_path):
     before = shuffle_files(spark)
     many = sales(spark, *[{"product_id": f"P{i}", "row_id": str(3 * i)} for i in range(40)]).repartition(5)
-    Warehouse(spark, str(tmp_path / "house")).load(many)
-    assert len(shuffle_files(spark) - before) < 20
+    house = Warehouse(spark, str(tmp_path / "house"))
+    house.load(many)
+    loaded = shuffle_files(spark) - before
+    build(house)
+    assert len(loaded) < 20 and len(shuffle_files(spark) - before - loaded) < 20

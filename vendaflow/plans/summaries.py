@@ -18,7 +18,7 @@ from vendaflow.operators.joins import same_key
 from vendaflow.operators.numbering import number_rows
 from vendaflow.plans.star import SUMMED, Filters, Measure, Star, total
 from vendaflow.plans.warehouse import Warehouse
-from vendaflow.session import path_exists
+from vendaflow.session import path_exists, writing
 
 COUNTED = ["order_id", "sk_cliente"]
 
@@ -57,10 +57,13 @@ def build(house: Warehouse, summaries: Mapping[str, Summary] = SUMMARIES) -> Non
     sums = [total(c, c) for c in SUMMED]
     lines = []
     for name, summary in summaries.items():
-        star.aggregate(summary.keys, sums).write.mode("overwrite").parquet(f"{root}/{name}/sums")
+        with writing(spark):
+            star.aggregate(summary.keys, sums).write.mode("overwrite").parquet(f"{root}/{name}/sums")
         rows = spark.read.parquet(f"{root}/{name}/sums").count()
         if summary.counted:
-            _bits(star, summary).write.mode("overwrite").parquet(f"{root}/{name}/bits")
+            bits = _bits(star, summary)
+            with writing(spark):
+                bits.write.mode("overwrite").parquet(f"{root}/{name}/bits")
         lines.append((name, rows))
     spark.createDataFrame(lines, MANIFEST).coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest")
 
